@@ -1,0 +1 @@
+"""Nothing in this engine is a stream: every job reads a bounded set of documents."""

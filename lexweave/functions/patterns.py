@@ -20,6 +20,11 @@ POLICY_ROMAN = r"(?iU)^([IVXLCDM]+)\.\s*(.+)$"  # roman, title
 PROVISION = r"(?iU)^\(([a-z])\)\s*(.*)$"  # letter, text
 ADOPTED = r"(?iU)^Adopted:\s*(.+)$"  # value
 AMENDED = r"(?iU)^Amended:\s*(.+)$"  # value
+# Any line of the forms Part, letter, Section, roman, (x), Adopted, Amended or numbered clause.
+HEADING_LIKE = (
+    r"(?U)^(?:(?i:Part\s+[IVXLCDM]+\s*:\s*.|Section\s+\d+\s*:\s*.|[IVXLCDM]+\.\s*.|\([a-z]\)|Adopted:\s*.|Amended:\s*.)"
+    r"|[A-Z]\.|\s*\d+\.)"
+)
 MARKDOWN_HEADING = r"(?U)^(#{1,6})\s+(.+?)\s*$"  # hashes, text
 
 # List items.

@@ -37,10 +37,7 @@ def skip_line(col: Column) -> Column:
 
 
 def heading_like(col: Column) -> Column:
-    hit = F.lit(False)
-    for pattern in (P.PART, P.LETTER, P.POLICY_SECTION, P.POLICY_ROMAN, P.PROVISION, P.ADOPTED, P.AMENDED, P.CLAUSE):
-        hit = hit | col.rlike(pattern)
-    return hit
+    return col.rlike(P.HEADING_LIKE)
 
 
 def word_count(cleaned: Column) -> Column:

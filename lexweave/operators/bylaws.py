@@ -221,7 +221,7 @@ def parse_bylaws(documents: DataFrame, blocks: DataFrame) -> Parsed:
     errors = heads.where((F.col("kind") == "clause") & F.col("parent_pos").isNull()).select(
         "slug", *POSITION, "line", F.lit("numbered clause before a section heading").alias("message")
     )
-    heads = heads.where((F.col("kind") == "part") | F.col("parent_pos").isNotNull())
+    heads = materialize(heads.where((F.col("kind") == "part") | F.col("parent_pos").isNotNull()), "bylaw-heads")
 
     tags = materialize(collision_tags(heads, "kind"), "bylaw-tags")
     for place, name in (("part", "part_tag"), ("section", "section_tag"), ("letter", "letter_tag")):

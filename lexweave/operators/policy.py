@@ -84,6 +84,7 @@ def parse_policies(documents: DataFrame, blocks: DataFrame) -> Parsed:
     heads = scanned.where(
         kind.isin("section", "policy") | ((kind == "clause") & F.col("policy").isNotNull())
     ).withColumns({"number": number, "id_part": own, "parent_key": above})
+    heads = materialize(heads, "policy-heads")
 
     tags = materialize(collision_tags(heads, "kind"), "policy-tags")
     heads = attach_tag(heads, tags, F.col("section.pos"), "section_tag")

@@ -117,7 +117,14 @@ def headings_in_force(lines: DataFrame) -> DataFrame:
     section = F.when(F.col("section.pos") > F.col("part.pos"), F.col("section"))
     scanned = scanned.withColumn("section", section)
     ceiling = F.greatest(F.col("part.pos"), F.col("section.pos"))
-    return scanned.withColumn("letter", F.when(F.col("letter.pos") > ceiling, F.col("letter")))
+    scanned = scanned.withColumn("letter", F.when(F.col("letter.pos") > ceiling, F.col("letter")))
+    # Running text needs its head and flow only; most lines stay narrow.
+    needed = (F.col("kind") != "text") | is_act_line()
+    return scanned.withColumns({name: F.when(needed, F.col(name)) for name in ("part", "section", "letter")})
+
+
+def is_act_line() -> Column:
+    return F.lower("line").startswith("an act")
 
 
 def unit_heads(lines: DataFrame) -> DataFrame:
@@ -203,7 +210,7 @@ def act_titles(lines: DataFrame) -> DataFrame:
     """First 'An Act ...' line of each Part that stands before any lettered section or clause flow."""
     open_place = F.col("head.kind").isin("part", "section")
     return (
-        lines.where((F.col("kind") == "text") & open_place & F.lower("line").startswith("an act"))
+        lines.where((F.col("kind") == "text") & open_place & is_act_line())
         .groupBy("slug", F.col("part.pos").alias("part_pos"))
         .agg(F.min(pos()).alias("act_pos"), F.min_by("line", pos()).alias("act_title"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lexweave.functions import patterns as P
 from lexweave.functions import text as X
 from lexweave.operators.scan import ordered_scan
+from lexweave.session import materialize
 
 BLOCKS_PER_CHUNK = 1024
 POSITION = ("block_ord", "offset")
@@ -57,11 +58,12 @@ def lines_with_neighbours(blocks: DataFrame, front_pages: int) -> DataFrame:
         & F.col("page").isNotNull()
         & (F.col("page") < front_pages)
     )
-    cleaned = (
-        with_chunk(blocks)
-        .withColumns({"front": is_front, "_lines": clean_lines(F.col("text"))})
-        .where(F.size("_lines") > 0)
+    # Cleaning is the costly step; its result is kept, as the scan below reads it twice.
+    cleaned = with_chunk(blocks).select(
+        "slug", "chunk", "block_ord", "block_id", "page", "original_page", "line_start", is_front.alias("front"),
+        clean_lines(F.col("text")).alias("_lines"),
     )
+    cleaned = materialize(cleaned, "clean-lines").where(F.size("_lines") > 0)
     bare = lambda entry: F.struct(*[entry[c].alias(c) for c in ("line", "like", "item")])
     behind = lambda entry: F.struct(*[entry[c].alias(c) for c in ("line", "like", "item")], F.col("front"))
     edge = ordered_scan(
@@ -72,21 +74,33 @@ def lines_with_neighbours(blocks: DataFrame, front_pages: int) -> DataFrame:
         lead={"_next": bare(F.element_at("_lines", 1))},
         lag={"_prev": behind(F.element_at("_lines", -1))},
     )
-    return edge.select("*", F.posexplode("_lines").alias("_i", "_line")).select(
-        "slug",
-        "chunk",
-        "block_ord",
-        "_line.offset",
-        "_line.line",
-        "_line.like",
-        "_line.item",
-        F.when(F.col("_i") + 1 < F.size("_lines"), bare(F.get("_lines", F.col("_i") + 1)))
-        .otherwise(F.col("_next"))
-        .alias("next"),
-        F.when(F.col("_i") > 0, behind(F.get("_lines", F.col("_i") - 1))).otherwise(F.col("_prev")).alias("prev"),
-        "block_id",
-        "page",
-        "original_page",
-        (F.col("line_start") + F.col("_line.offset")).alias("line_no"),
-        "front",
+    # Neighbours are put into the array before it is exploded: a row must not carry its whole block.
+    entries = F.transform(
+        "_lines",
+        lambda e, i: F.struct(
+            e.alias("here"),
+            F.when(i + 1 < F.size("_lines"), bare(F.get("_lines", i + 1))).otherwise(F.col("_next")).alias("next"),
+            F.when(i > 0, behind(F.get("_lines", i - 1))).otherwise(F.col("_prev")).alias("prev"),
+        ),
+    )
+    kept = ("slug", "chunk", "block_ord", "block_id", "page", "original_page", "line_start", "front")
+    return (
+        edge.select(*kept, entries.alias("_entries"))
+        .select(*kept, F.explode("_entries").alias("_e"))
+        .select(
+            "slug",
+            "chunk",
+            "block_ord",
+            "_e.here.offset",
+            "_e.here.line",
+            "_e.here.like",
+            "_e.here.item",
+            "_e.next",
+            "_e.prev",
+            "block_id",
+            "page",
+            "original_page",
+            (F.col("line_start") + F.col("_e.here.offset")).alias("line_no"),
+            "front",
+        )
     )

@@ -1,5 +1,7 @@
 """All registered queries: name -> (Spark query, SQL on the base tables or None)."""
 
+from lexweave.plans.page_queries import QUERIES as PAGES
 from lexweave.plans.structure_queries import QUERIES as STRUCTURE
+from lexweave.plans.text_queries import QUERIES as TEXT
 
-CATALOGUE = {**STRUCTURE}
+CATALOGUE = {**STRUCTURE, **TEXT, **PAGES}

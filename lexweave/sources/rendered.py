@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexweave.functions import text as X
+from lexweave.session import materialize
 from lexweave.sources.tables import table
 
 PAGE_ROWS = 4096
@@ -86,7 +87,7 @@ def bylaw_blocks(spark: SparkSession, folder: str) -> DataFrame:
     part_at = F.col("part_no") * PART
     section_at = part_at + (F.col("l_suppkey") + 1) * SECTION
     letter_at = section_at + F.col("letter_no") * LETTER
-    groups = with_busy_groups(groups, ["s_nationkey", "part_no"], F.col("l_suppkey") + 1)
+    groups = materialize(with_busy_groups(groups, ["s_nationkey", "part_no"], F.col("l_suppkey") + 1), "lettered-sections")
 
     entry = F.struct(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax", item_lines().alias("text")
@@ -197,7 +198,7 @@ def policy_blocks(spark: SparkSession, folder: str) -> DataFrame:
         month(F.min("o_orderdate")).alias("adopted"),
         month(F.max("o_orderdate")).alias("amended"),
     ).withColumns({"doc": F.col("o_custkey") % 25, "k": F.floor(F.col("o_custkey") / 25)})
-    customers = with_busy_groups(customers, ["doc"], F.col("k"))
+    customers = materialize(with_busy_groups(customers, ["doc"], F.col("k")), "policy-customers")
     slug = F.concat(F.lit("policy-"), F.col("doc").cast("string")).alias("slug")
     at = F.col("k") * CUSTOMER
     page = (F.col("k") + 10).cast("int").alias("page")

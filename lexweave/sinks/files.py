@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lexweave.operators.validate import unsafe_path
 
 WRITTEN = "path string, file_type string, sha256 string, sync_eligible boolean, source_document_slug string, clause_id string"
-NOT_SYNCED = ("raw_provenance", "raw_extraction", "schema_pack")
+NOT_SYNCED = ("raw_provenance", "raw_extraction", "raw_source", "schema_pack")
 
 
 def write_files(files: DataFrame, root: str) -> DataFrame:
@@ -25,14 +25,14 @@ def write_files(files: DataFrame, root: str) -> DataFrame:
         F.when(unsafe_path(F.col("path")), F.raise_error(F.concat(F.lit("unsafe export path: "), F.col("path"))))
         .otherwise(F.col("path"))
         .alias("path"),
-        "content", "file_type", "slug", "clause_id",
+        F.col("content").cast("binary").alias("content"), "file_type", "slug", "clause_id",
     )
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             digests = []
             for path, content in zip(batch["path"], batch["content"]):
-                data, target = content.encode("utf-8"), os.path.join(root, path)
+                data, target = bytes(content), os.path.join(root, path)
                 os.makedirs(os.path.dirname(target), exist_ok=True)
                 staged = f"{target}.{uuid.uuid4().hex}"
                 with open(staged, "wb") as handle:

@@ -106,7 +106,8 @@ def manifest_entries(spark: SparkSession, path: str) -> DataFrame:
     field = lambda name: F.nullif(
         F.regexp_replace(F.regexp_extract("value", rf"(?m)^  {name}: (.*)$", 1), r"^(['\"])(.*)\1$", "$2"), F.lit("null")
     )
-    first = F.regexp_replace(F.split_part("value", F.lit("\n"), F.lit(1)), r"^(['\"])(.*)\1$", "$2")
+    opening = F.regexp_replace(F.split_part("value", F.lit("\n"), F.lit(1)), r"^- path: ", "")
+    first = F.regexp_replace(opening, r"^(['\"])(.*)\1$", "$2")
     return records.where(F.col("value").rlike(r"(?m)^  sha256: ")).select(
         first.alias("path"), field("file_type").alias("file_type"), field("sha256").alias("sha256"),
         (field("sync_eligible") == "true").alias("sync_eligible"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexweave.functions import patterns as P
 from lexweave.functions import text as X
+from lexweave.operators.retrieval import short_runs
 from lexweave.session import materialize
 
 # Thresholds of the page confirmation and of the verdict.
@@ -67,8 +68,7 @@ def search_keys(cards: DataFrame, frequency: DataFrame) -> DataFrame:
     rarest words are taken, so common words hardly ever become keys.
     """
     long_needle = is_long(F.col("needle"))
-    longest = F.element_at(F.array_sort("lines", lambda a, b: F.size(a["words"]) - F.size(b["words"])), -1)
-    cards = cards.withColumn("_line", F.when(F.size("lines") > 1, longest))
+    cards = with_longest_line(cards)
     line, line_words = F.col("_line.n"), F.col("_line.words")
 
     def scope(name: str, words: Column, enough: Column | int, when: Column) -> DataFrame:
@@ -131,22 +131,29 @@ def confirmed(pages_side: DataFrame) -> Column:
     )
 
 
+def with_longest_line(cards: DataFrame) -> DataFrame:
+    """Add the line with most words of a text of several lines; all lines have to be confirmed, so this one has to."""
+    longest = F.element_at(F.array_sort("lines", lambda a, b: F.size(a["words"]) - F.size(b["words"])), -1)
+    return cards.withColumn("_line", F.when(F.size("lines") > 1, longest))
+
+
 def short_keys(cards: DataFrame) -> DataFrame:
-    """Cards without any inner word, with the first three characters of their text as the key."""
-    few = cards.where((F.size(inner_words(F.col("needle"))) == 0) & (F.col("needle") != ""))
-    return few.select("doc", "card_id", F.substring("needle", 1, 3).alias("gram"))
+    """Keys of texts that have no inner word: their first three characters, which any text holding them holds too."""
+    line, needle = F.col("_line.n"), F.col("needle")
+    texts = F.array_compact(
+        F.array(
+            needle, F.when(is_long(needle), first_words(needle)), F.when(is_long(needle), last_words(needle)),
+            line, F.when(is_long(line), first_words(line)), F.when(is_long(line), last_words(line)),
+        )
+    )
+    few = F.filter(texts, lambda t: (t != "") & (F.size(inner_words(t)) == 0))
+    grams = F.array_distinct(F.transform(few, lambda t: F.substring(t, 1, 3)))
+    return with_longest_line(cards).select("doc", "card_id", F.explode(grams).alias("gram"))
 
 
 def page_grams(pages: DataFrame) -> DataFrame:
     chars = pages.select("doc", "page", F.split("hay", "").alias("_c"))
-    runs = F.concat(
-        *[
-            F.transform(
-                F.sequence(F.lit(0), F.size("_c") - 1), lambda i, n=n: F.concat_ws("", *[F.get("_c", i + k) for k in range(n)])
-            )
-            for n in (1, 2, 3)
-        ]
-    )
+    runs = F.concat(*[short_runs("_c", n) for n in (1, 2, 3)])
     return chars.select("doc", "page", F.explode(F.array_distinct(runs)).alias("gram"))
 
 
@@ -159,6 +166,9 @@ def candidate_pairs(cards: DataFrame, pages: DataFrame) -> DataFrame:
     short = short_keys(cards)
     if not short.isEmpty():
         pairs = pairs.unionByName(short.join(page_grams(pages), ["doc", "gram"]).select("doc", "card_id", "page"))
+    # Several lines without any word are confirmed by every page of the document.
+    wordless = cards.where((F.size("lines") > 1) & (F.size("words") == 0)).select("doc", "card_id")
+    pairs = pairs.unionByName(wordless.join(pages.select("doc", "page"), "doc").select("doc", "card_id", "page"))
     return pairs.distinct()
 
 

@@ -31,6 +31,13 @@ def leading_gram(question: Column) -> Column:
     return F.substring(question, 1, GRAM)
 
 
+def short_runs(chars: str, n: int) -> Column:
+    """Runs of n characters (fewer at the end) from an array of characters."""
+    return F.transform(
+        F.sequence(F.lit(0), F.size(chars) - 1), lambda i: F.concat_ws("", *[F.get(chars, i + k) for k in range(n)])
+    )
+
+
 def phrase_pairs(pages: DataFrame, questions: DataFrame, overlaps: DataFrame) -> DataFrame:
     """Pairs (question_id, path) where the question occurs in the page text.
 
@@ -47,15 +54,7 @@ def phrase_pairs(pages: DataFrame, questions: DataFrame, overlaps: DataFrame) ->
         return pairs
     keyed = short.withColumn("gram", leading_gram(F.col("question")))
     spread = hay.select("path", "hay", F.split("hay", "").alias("_chars"))
-    runs = F.concat(
-        *[
-            F.transform(
-                F.sequence(F.lit(0), F.size("_chars") - 1),
-                lambda i, n=n: F.concat_ws("", *[F.get("_chars", i + k) for k in range(n)]),
-            )
-            for n in range(1, GRAM + 1)
-        ]
-    )
+    runs = F.concat(*[short_runs("_chars", n) for n in range(1, GRAM + 1)])
     exploded = spread.select("path", F.explode(F.array_distinct(runs)).alias("gram"))
     found = exploded.join(keyed, "gram").join(hay, "path").where(F.contains("hay", "question"))
     return pairs.unionByName(found.select("question_id", "path").distinct())

@@ -82,8 +82,13 @@ def classify(lines: DataFrame) -> DataFrame:
         lines.where(~F.col("front"))
         .withColumns({"kind": kind, "used_up": used_up, "skip": X.skip_line(line)})
         .where(~F.coalesce("used_up", F.lit(False)) & ~F.col("skip"))
-        .withColumn("next", F.when(F.col("kind").isin("section", "letter"), F.col("next")))
-        .drop("prev", "front", "used_up", "skip")
+        .select(
+            "slug", "chunk", *POSITION, "line", "kind", "page",
+            # The first line of a flow must not look like a heading; anything may follow it.
+            ((F.col("kind") == "text") & (F.col("item") | ~F.col("like"))).alias("opens"),
+            F.when(F.col("kind").isin("section", "letter"), F.col("next")).alias("next"),
+            *[F.when(F.col("kind") != "text", F.col(c)).alias(c) for c in ("block_id", "original_page", "line_no")],
+        )
     )
 
 
@@ -107,9 +112,7 @@ def headings_in_force(lines: DataFrame) -> DataFrame:
     is_head = kind.isin("part", "section", "letter", "clause")
     last["head"] = F.when(is_head, F.struct(place.alias("pos"), kind.alias("kind")))
     last["flow"] = F.when(kind != "text", F.struct(place.alias("pos"), kind.alias("kind")))
-    # The first line of a flow must not look like a heading; anything may follow it.
-    opens = (kind == "text") & (F.col("item") | ~F.col("like"))
-    last["opener"] = F.when(opens, place)
+    last["opener"] = F.when(F.col("opens"), place)
     scanned = ordered_scan(
         lines, ["slug"], "chunk", POSITION, last=last, sums={"unit_ord": is_head.cast("bigint")}
     ).where(F.col("part").isNotNull())
@@ -120,13 +123,18 @@ def headings_in_force(lines: DataFrame) -> DataFrame:
     scanned = scanned.withColumn("letter", F.when(F.col("letter.pos") > ceiling, F.col("letter")))
     # Running text needs its head and flow only; most lines stay narrow.
     needed = (F.col("kind") != "text") | is_act_line()
-    return scanned.withColumns({name: F.when(needed, F.col(name)) for name in ("part", "section", "letter")})
+    return scanned.withColumns({name: F.when(needed, F.col(name)) for name in ("part", "section", "letter")}).drop("opens")
 
 
 def is_act_line() -> Column:
     return F.lower("line").startswith("an act")
 
 
+def number_id(number: Column) -> Column:
+    """Identifier of a heading number; plain letters and digits need no rewriting."""
+    return F.when(number.rlike("^[A-Za-z0-9]+$"), F.lower(number)).otherwise(X.identifier(number))
+
+
 def unit_heads(lines: DataFrame) -> DataFrame:
     """Heading and clause lines with their number, own part of the identifier and parent."""
     kind, line = F.col("kind"), F.col("line")
@@ -156,7 +164,7 @@ def unit_heads(lines: DataFrame) -> DataFrame:
         .withColumn("number", number)
         .withColumns(
             {
-                "id_part": F.concat(prefix, X.identifier(F.col("number"))),
+                "id_part": F.concat(prefix, number_id(F.col("number"))),
                 "parent_pos": above,
                 # Heads without a parent share one key instead of a null one, so that joins keep them.
                 "parent_key": F.coalesce(above, F.struct(F.lit(-1).cast("bigint").alias("block_ord"), F.lit(-1).alias("offset"))),
@@ -172,6 +180,8 @@ def unit_heads(lines: DataFrame) -> DataFrame:
                 .when(kind == "letter", F.concat(F.col("number"), F.lit(". "), F.col("letter.title"))),
             }
         )
+        .withColumn("line", F.when(above.isNull(), F.col("line")))
+        .drop("head", "flow", "opener", "next")
     )
 
 
@@ -236,7 +246,7 @@ def parse_bylaws(documents: DataFrame, blocks: DataFrame) -> Parsed:
     heads = attach_tag(heads, tags, pos(), "own_tag")
 
     slug = F.col("slug")
-    part_id = path_id(slug, F.concat(F.lit("part-"), X.identifier(F.col("part.number")), F.col("part_tag")))
+    part_id = path_id(slug, F.concat(F.lit("part-"), number_id(F.col("part.number")), F.col("part_tag")))
     section_id = path_id(part_id, F.concat(F.lit("section-"), F.col("section.number"), F.col("section_tag")))
     low = F.lower("letter.number")
     letter_id = F.when(

@@ -74,13 +74,18 @@ def lines_with_neighbours(blocks: DataFrame, front_pages: int) -> DataFrame:
         lead={"_next": bare(F.element_at("_lines", 1))},
         lag={"_prev": behind(F.element_at("_lines", -1))},
     )
-    # Neighbours are put into the array before it is exploded: a row must not carry its whole block.
+    # Neighbours are put into the array before it is exploded: a row must not carry its whole block. Only lines that
+    # look like headings ask for the line after them, and only lines after such a line for the one before.
     entries = F.transform(
         "_lines",
         lambda e, i: F.struct(
             e.alias("here"),
-            F.when(i + 1 < F.size("_lines"), bare(F.get("_lines", i + 1))).otherwise(F.col("_next")).alias("next"),
-            F.when(i > 0, behind(F.get("_lines", i - 1))).otherwise(F.col("_prev")).alias("prev"),
+            F.when(
+                e["like"], F.when(i + 1 < F.size("_lines"), bare(F.get("_lines", i + 1))).otherwise(F.col("_next"))
+            ).alias("next"),
+            F.when(i == 0, F.col("_prev"))
+            .when(F.get("_lines", i - 1)["like"], behind(F.get("_lines", i - 1)))
+            .alias("prev"),
         ),
     )
     kept = ("slug", "chunk", "block_ord", "block_id", "page", "original_page", "line_start", "front")

@@ -32,7 +32,6 @@ def ordered_scan(
     """
     last, sums, mins, lead, lag = last or {}, sums or {}, mins or {}, lead or {}, lag or {}
     inputs = {f"_in_{name}": value for name, value in {**last, **sums, **mins, **lead, **lag}.items()}
-    base = df.withColumns(inputs)
     position = F.struct(*order)
 
     parts = []
@@ -47,7 +46,7 @@ def ordered_scan(
         parts.append(F.min_by(f"_in_{name}", position).alias(f"_s_{name}"))
     for name in lag:
         parts.append(F.max_by(f"_in_{name}", position).alias(f"_s_{name}"))
-    summary = base.groupBy(*keys, chunk).agg(*parts)
+    summary = df.withColumns(inputs).groupBy(*keys, chunk).agg(*parts)
 
     along = Window.partitionBy(*keys).orderBy(chunk)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
@@ -65,15 +64,15 @@ def ordered_scan(
     local |= {f"_l_{n}": F.min(f"_in_{n}").over(upto) for n in mins}
     local |= {f"_l_{n}": F.lead(f"_in_{n}").over(here) for n in lead}
     local |= {f"_l_{n}": F.lag(f"_in_{n}").over(here) for n in lag}
-    joined = base.withColumns(local).join(summary, [*keys, chunk])
+    # Rows are shuffled as they come; the inputs are worked out behind the shuffle.
+    base = df.repartition(*[F.col(k) for k in (*keys, chunk)]).withColumns(inputs)
+    joined = base.withColumns(local).drop(*inputs).join(summary, [*keys, chunk])
 
     out = {n: F.col(f"_l_{n}") + F.col(f"_e_{n}") for n in sums}
     out |= {n: F.least(f"_l_{n}", f"_e_{n}") for n in mins}
     out |= {n: F.coalesce(f"_l_{n}", f"_e_{n}") for n in (*last, *lead, *lag)}
     names = list(out)
-    return joined.withColumns(out).drop(
-        *inputs, *(f"_l_{n}" for n in names), *(f"_e_{n}" for n in names)
-    )
+    return joined.withColumns(out).drop(*(f"_l_{n}" for n in names), *(f"_e_{n}" for n in names))
 
 
 def position_in_group(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str], name: str) -> DataFrame:

@@ -6,7 +6,11 @@ case-insensitive with Unicode classes, (?d) keeps "." and "$" to plain line feed
 """
 
 LINE_BREAK = r"\r\n|[\n\r\x0b\f\x1c\x1d\x1e\x85\u2028\u2029]"
-SPACE = r"(?U)[\s\x1c-\x1f]+"
+# White space as one class of ranges, which is matched faster than the Unicode property.
+WHITE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# White space that is not already a single blank; lone blanks are left alone and cost nothing.
+SPACE = rf"[{WHITE.replace('x20', 'x1f')}][{WHITE}]*| [{WHITE}]+"
+MARGIN = rf"^[{WHITE}]+|[{WHITE}]+$"
 
 # Headings and numbered lines.
 LABELLED_HEADING = r"(?iU)^(Section|Article|Policy|Schedule|Appendix)\s+([A-Za-z0-9.]+)(?:\s*[-:]\s*(.+))?$"  # label, number, title
@@ -56,4 +60,4 @@ WORD = r"[A-Za-z0-9]+"
 # Audit.
 NESTED_MARKER = r"(?U)\s(?:[a-z]|i|ii|iii|iv|v|vi|vii|viii|ix|x|xi|xii|xiii)\.\s+"
 AUDIT_MARKER = r"(?:[a-z]|i{2,3}|iv|v|vi{1,3}|ix|x|xi{1,3})"
-PAGE_HYPHEN = r"(?U)(?<=\w)-\s+(?=\w)"
+PAGE_HYPHEN = r"(?U)-(?<=\w-)\s+(?=\w)"  # starts at the hyphen, so the look behind runs only there

@@ -16,7 +16,7 @@ def group(col: Column, pattern: str, index: int) -> Column:
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.regexp_replace(col, P.MARGIN, "")
 
 
 def collapse(col: Column) -> Column:

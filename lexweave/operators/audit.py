@@ -185,20 +185,37 @@ def direct_pages(cards: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def joined_pages(pages: DataFrame) -> DataFrame:
-    """Each page joined with the next one, printed page numbers left out."""
-    lines = pages.select("doc", "page", F.array_join(clean_page_lines(F.col("text")), " ").alias("left"))
-    after = lines.select("doc", (F.col("page") - 1).alias("page"), F.col("left").alias("right"))
-    both = lines.join(after, ["doc", "page"])
-    return both.select(
-        "doc", "page",
-        X.audit_norm(F.concat_ws(" ", "left", "right")).alias("hay"),
-        X.audit_norm(F.col("left")).alias("left"), X.audit_norm(F.col("right")).alias("right"),
-    ).withColumn("hay_words", F.array_distinct(F.concat(X.audit_words(F.col("hay")), X.audit_words(F.col("left")), X.audit_words(F.col("right")))))
+    """Each page joined with the next one, printed page numbers left out.
+
+    Every page is normalised once; the normal form of a pair differs from its two halves only where they meet: a word
+    broken by a hyphen is put together there.
+    """
+    flat = pages.select("doc", "page", F.array_join(clean_page_lines(F.col("text")), " ").alias("flat"))
+    side = flat.select(
+        "doc", "page", X.audit_norm(F.col("flat")).alias("left"),
+        F.col("flat").rlike(r"full[-\u2013\u2014]$").alias("_full"), F.col("flat").startswith("time").alias("_time"),
+    ).withColumn("words", X.audit_words(F.col("left")))
+    side = materialize(side, "audit-flat-pages")
+    after = side.select(
+        "doc", (F.col("page") - 1).alias("page"), F.col("left").alias("right"), F.col("words").alias("right_words"),
+        F.col("_time").alias("_then"),
+    )
+    both = side.drop("_time").join(after, ["doc", "page"])
+    broken = F.col("left").rlike(r"(?U)\w-$") & F.col("right").rlike(r"(?U)^\w")
+    hay = (
+        F.when(F.col("_full") & F.col("_then"), F.concat("left", "right"))
+        .when(broken, F.concat(F.expr("left(left, length(left) - 1)"), "right"))
+        .otherwise(F.trim(F.concat_ws(" ", "left", "right")))
+    )
+    across = F.concat(F.regexp_extract("left", r"([a-z0-9]+)-$", 1), F.regexp_extract("right", r"^([a-z0-9]+)", 1))
+    held = F.array_distinct(F.concat("words", "right_words", F.when(broken, F.array(across)).otherwise(F.array().cast("array<string>"))))
+    return both.select("doc", "page", hay.alias("hay"), "left", "right", held.alias("hay_words"))
 
 
 def spanning_pages(cards: DataFrame, pages: DataFrame) -> DataFrame:
     """First pair of neighbouring pages that together hold a card no single page confirms."""
-    pairs = joined_pages(pages)
+    mine = pages.join(cards.select("doc").distinct(), "doc", "left_semi")
+    pairs = materialize(joined_pages(mine), "audit-joined-pages")
     needle = F.col("needle")
     split = is_long(needle) & F.contains("left", first_words(needle)) & F.contains("right", last_words(needle))
     hit = (
@@ -219,7 +236,7 @@ def found_pages(cards: DataFrame, pages: DataFrame) -> DataFrame:
     open_cards = materialize(
         normal.join(direct.select("doc", "card_id").distinct(), ["doc", "card_id"], "left_anti"), "audit-open"
     )
-    found = direct.unionByName(spanning_pages(open_cards, held))
+    found = direct if open_cards.isEmpty() else direct.unionByName(spanning_pages(open_cards, held))
     return found.groupBy("doc", "card_id").agg(F.sort_array(F.collect_set("page")).alias("pages"))
 
 

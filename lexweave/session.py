@@ -45,3 +45,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_root(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Even partitions for work that is heavy per row but small in bytes, which size-based coalescing would bunch up."""
+    spark = df.sparkSession
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(wanted, key)

@@ -510,7 +510,10 @@ def audit(cards: DataFrame, pages: DataFrame, doc: str) -> DataFrame:
     copies = duplicate_texts(cards)
     members = copies.groupBy("text_hash").agg(F.sort_array(F.collect_list("card_id")).alias("duplicate_ids"))
     shared = copies.select("card_id", "text_hash").join(members, "text_hash").drop("text_hash")
-    facts = set_facts(cards, doc)
+    # Facts about the whole set matter to the two part cards only, so they are joined by identifier.
+    facts = set_facts(cards, doc).select(
+        F.explode(F.array(F.lit(f"{doc}-part-i"), F.lit(f"{doc}-part-ii"))).alias("card_id"), "numbered_sections", "missing_letters"
+    )
     hosts = collision_hosts(cards, doc).withColumn("_host", F.lit(True))
     numbered = f"^{doc}-part-ii-section-\\d+$"
     cid = F.col("card_id")
@@ -531,7 +534,7 @@ def audit(cards: DataFrame, pages: DataFrame, doc: str) -> DataFrame:
         .join(recalls, ["doc", "card_id"], "left")
         .join(shared, "card_id", "left")
         .join(hosts, "card_id", "left")
-        .join(facts, F.lit(True))
+        .join(facts, "card_id", "left")
         .withColumns(
             {
                 "duplicate_ids": F.coalesce("duplicate_ids", empty),

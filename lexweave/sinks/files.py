@@ -62,7 +62,7 @@ def manifest_header(documents: DataFrame) -> DataFrame:
     """One row of corpus-wide values: shared values or their defaults, and the confidentiality levels in use."""
     eligibility = F.coalesce(shared_value("sync_eligibility"), F.lit("blocked"))
     return documents.agg(
-        F.coalesce(shared_value("corpus_id"), F.lit("legal-corpus")).alias("corpus_id"),
+        F.coalesce(shared_value("corpus_id"), F.lit("corpus")).alias("corpus_id"),
         F.coalesce(shared_value("corpus_version"), F.lit("fixture-v1")).alias("corpus_version"),
         shared_value("target_namespace").alias("target_namespace"),
         shared_value("classification").alias("classification"),

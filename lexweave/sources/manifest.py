@@ -22,7 +22,7 @@ DOCUMENT_SCHEMA = (
 FIELDS = tuple(part.split()[0] for part in DOCUMENT_SCHEMA.split(", "))[:-1]
 REQUIRED = FIELDS[:13]
 NULLABLE = ("effective_date", "reviewed_by")
-DEFAULTS = {"profile": "generic", "corpus_id": "legal-corpus", "corpus_version": "fixture-v1", "sync_eligibility": "blocked"}
+DEFAULTS = {"profile": "generic", "corpus_id": "corpus", "corpus_version": "fixture-v1", "sync_eligibility": "blocked"}
 
 
 class ManifestError(ValueError):

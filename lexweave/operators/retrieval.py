@@ -82,11 +82,15 @@ def rank_pages(pages: DataFrame, questions: DataFrame, top_k: int = 5) -> DataFr
     )
     best = Window.partitionBy("question_id").orderBy(F.desc("score"), "path")
     ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top_k)
-    # The empty question occurs everywhere: the first pages in path order, all with the phrase score.
-    first = pages.select("path").orderBy("path").limit(top_k)
-    first = first.withColumn("rank", F.row_number().over(Window.orderBy("path"))).withColumn("_blank", F.lit(""))
-    blank = questions.where(F.col("question") == "").select("question_id", F.col("question").alias("_blank"))
-    return ranked.unionByName(first.join(blank, "_blank").withColumn("score", F.lit(2.0)).select(*ranked.columns))
+    # The empty question occurs everywhere: the first pages in path order (top_k of them), all with the phrase score.
+    blank = questions.where(F.col("question") == "").select("question_id")
+    if blank.isEmpty():
+        return ranked
+    first = F.array(*[F.lit(row.path) for row in pages.select("path").orderBy("path").take(top_k)]).cast("array<string>")
+    listed = blank.select("question_id", F.posexplode(first).alias("rank", "path"))
+    return ranked.unionByName(
+        listed.select("question_id", "path", F.lit(2.0).alias("score"), (F.col("rank") + 1).alias("rank"))
+    )
 
 
 def identity_index(pages: DataFrame) -> DataFrame:

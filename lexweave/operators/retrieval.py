@@ -46,8 +46,11 @@ def phrase_pairs(pages: DataFrame, questions: DataFrame, overlaps: DataFrame) ->
     """
     text = questions.select("question_id", F.lower("question").alias("question"))
     hay = pages.select("path", F.lower("haystack").alias("hay"))
-    inner = text.where(has_inner_word(F.col("question")))
-    near = overlaps.join(inner, "question_id").join(hay, "path").where(F.contains("hay", "question"))
+    # All inner words are in such a page, so pairs that share fewer words never meet the page texts.
+    bare = F.regexp_replace(F.regexp_replace("question", r"^[A-Za-z0-9]+", ""), r"[A-Za-z0-9]+$", "")
+    inner = text.where(has_inner_word(F.col("question"))).withColumn("needed", F.size(F.array_distinct(X.words(bare))))
+    likely = overlaps.join(inner, "question_id").where(F.col("overlap") >= F.col("needed"))
+    near = likely.join(hay, "path").where(F.contains("hay", "question"))
     pairs = near.select("question_id", "path")
     short = text.where(~has_inner_word(F.col("question")) & (F.col("question") != ""))
     if short.isEmpty():

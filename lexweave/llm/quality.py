@@ -132,12 +132,14 @@ class Model:
     rates: tuple
 
     def posterior(self) -> Column:
-        """Probability of being good, from the columns vote_<k>."""
-        odds = F.lit(math.log((1 - self.share) / self.share))
-        for k, (bad, good) in enumerate(self.rates):
-            by = {v: math.log(good[v] / bad[v]) for v in (BAD, ABSTAIN, GOOD)}
-            vote = F.col(f"vote_{k}")
-            odds = odds + F.when(vote == BAD, by[BAD]).when(vote == GOOD, by[GOOD]).otherwise(by[ABSTAIN])
+        """Probability of being good, from the columns vote_<k>.
+
+        The log ratios are one array constant, so that rounds with other numbers share their compiled code.
+        """
+        ratios = F.array(*[F.array(*[F.lit(math.log(good[v] / bad[v])) for v in (BAD, ABSTAIN, GOOD)]) for bad, good in self.rates])
+        votes = F.array(*[F.col(f"vote_{k}") for k in range(len(self.rates))])
+        said = F.zip_with(votes, ratios, lambda vote, by: F.get(by, vote.cast("int") + 1))
+        odds = F.aggregate(said, F.lit(math.log((1 - self.share) / self.share)), lambda a, b: a + b)
         return 1 / (1 + F.exp(-odds))
 
 
@@ -158,11 +160,11 @@ def fit(votes: DataFrame, n_rules: int, rounds: int = 25) -> Model:
     names = [f"vote_{k}" for k in range(n_rules)]
     start = Model(0.1, tuple(({BAD: 0.3, ABSTAIN: 0.15, GOOD: 0.55}, {BAD: 0.001, ABSTAIN: 0.149, GOOD: 0.85}) for _ in names))
     patterns = materialize(votes.groupBy(*names).count().coalesce(1), "vote-patterns")
+    sums = [F.sum(kind).alias(kind) for kind in ("bad", "good")]
+    sums += [F.expr(f"sum({kind}) filter (where {n} = {v})").alias(f"{kind}_{n}_{v + 1}") for n in names for v in (BAD, ABSTAIN, GOOD) for kind in ("bad", "good")]
     model = start
     for _ in range(rounds):
         weighed = patterns.withColumn("good", model.posterior() * F.col("count")).withColumn("bad", F.col("count") - F.col("good"))
-        sums = [F.sum(kind).alias(kind) for kind in ("bad", "good")]
-        sums += [F.sum(F.when(F.col(n) == v, F.col(kind))).alias(f"{kind}_{n}_{v + 1}") for n in names for v in (BAD, ABSTAIN, GOOD) for kind in ("bad", "good")]
         row = weighed.agg(*sums).first().asDict()
         row = {key: value or 0.0 for key, value in row.items()}
 
@@ -174,7 +176,7 @@ def fit(votes: DataFrame, n_rules: int, rounds: int = 25) -> Model:
             (row["bad"] + start.share) / (row["bad"] + row["good"] + 1),
             tuple((informed(rate("bad", name, k), low=LEAST_HIT, high=MOST_HIT), informed(rate("good", name, k), high=MOST_FALSE)) for k, name in enumerate(names)),
         )
-        settled = abs(after.share - model.share) < 1e-6
+        settled = abs(after.share - model.share) < 1e-5
         model = after
         if settled:
             break

@@ -71,8 +71,8 @@ WARC_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, upper(sha1(coalesce(html, ''))) AS h FROM pages),
 f AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h)
 SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
-       array_to_string(list_transform(range(0, 8), i -> array_to_string(list_transform([15, 10, 5, 0],
-           b -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(((('0x' || substr(p.h, 1 + 5 * i, 5))::BIGINT >> b) & 31) AS INTEGER), 1)), '')), '') AS payload_digest,
+       array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
+           lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(((('0x' || substr(p.h, 1 + 5 * i, 5))::BIGINT >> b) & 31) AS INTEGER), 1)), '')), '') AS payload_digest,
        CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN NULL ELSE first_id END AS refers_to
 FROM p JOIN f ON p.h = f.h
@@ -80,9 +80,9 @@ FROM p JOIN f ON p.h = f.h
 
 LINKS_SQL = """
 WITH RECURSIVE v AS (
-    SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings),
-u AS (SELECT *, list_dot_product(e, e) AS s FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL)) = 0
-      AND len(list_filter(e, x -> isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+    SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+u AS (SELECT *, list_dot_product(e, e) AS s FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL)) = 0
+      AND len(list_filter(e, lambda x: isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
 l AS (SELECT a.row AS a, a.vec_id AS id, b.row AS b, b.vec_id AS other FROM u a JOIN u b ON a.label = b.label AND a.row <> b.row AND len(a.e) = len(b.e)
       WHERE list_dot_product(a.e, b.e) >= 0.98 * sqrt(a.s) * sqrt(b.s)),
 n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),

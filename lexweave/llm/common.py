@@ -2,7 +2,10 @@
 
 import re
 import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,13 +77,14 @@ def least_reachable(edges: DataFrame) -> DataFrame:
 class WordTokens(dict):
     """Token ids, as little-endian unsigned 32-bit bytes, of pieces of text whose tokens do not depend on their surroundings.
 
-    Pieces are encoded by the tokenizers library in batches and remembered; the memory is emptied when it holds limit
+    New pieces are first taken apart into parts that many pieces share; parts not known yet are encoded by the tokenizers
+    library, many in one text with a mark between them whose token no part holds. Pieces are remembered; the memory is emptied when it holds limit
     pieces. One instance lives as long as its Python worker.
     """
 
     made: dict = {}
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 1_200_000):
         super().__init__()
         from tokenizers import Tokenizer
 
@@ -94,28 +98,59 @@ class WordTokens(dict):
             cls.made[path] = cls(path)
         return cls.made[path]
 
-    def learn(self, pieces: list[str]) -> None:
-        import struct
-
-        for piece, made in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            self[piece] = struct.pack(f"<{len(made.ids)}I", *made.ids)
-
-    def encode(self, texts: list[str], cut) -> list[bytes]:
-        """Ids of each text; cut(text) gives its independent pieces in order."""
+    def learn(self, pieces: list[str], way: "Splitting") -> None:
+        parts = {piece: way.fold(piece) for piece in pieces}
+        new = list({part for folded in parts.values() for part in folded if part not in self})
+        joined = [part for part in new if way.joins.fullmatch(part)]
+        self.single([part for part in new if not way.joins.fullmatch(part)])
+        (mark,) = self.tokenizer.encode(way.glue, add_special_tokens=False).ids
+        runs = [joined[i : i + 1000] for i in range(0, len(joined), 1000)]
+        for run, made in zip(runs, self.tokenizer.encode_batch_fast([way.glue.join(run) for run in runs], add_special_tokens=False)):
+            ids = np.array(made.ids, "<u4")
+            ends = np.flatnonzero(ids == mark)
+            if len(ends) + 1 != len(run):
+                raise ValueError("parts of joined texts cannot be told apart")
+            data, begins = ids.tobytes(), [0, *(4 * ends + 4).tolist()]
+            for part, a, b in zip(run, begins, [*(4 * ends).tolist(), len(data)]):
+                self[part] = data[a:b]
+        for piece, folded in parts.items():
+            self[piece] = self[folded[0]] if len(folded) == 1 else self[folded[0]] + self[folded[1]]
+
+    def single(self, parts: list[str]) -> None:
+        for part, made in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
+            self[part] = np.array(made.ids, "<u4").tobytes()
+
+    def encode(self, texts: list[str], way: "Splitting") -> list[bytes]:
+        """Ids of each whole text."""
         if len(self) > self.limit:
             self.clear()
-        cuts = [cut(text) for text in texts]
-        missing = [piece for piece in {piece for pieces in cuts for piece in pieces} if piece not in self]
+        cuts = [way.cut(text) for text in texts]
+        missing = [piece for piece in set().union(*cuts) if piece not in self]
         if missing:
-            self.learn(missing)
+            self.learn(missing, way)
         take = self.__getitem__
         made = [b"".join(map(take, pieces)) for pieces in cuts]
         for piece in missing:
             if len(piece) > 64:
-                del self[piece]
+                self.pop(piece, None)
         return made
 
 
+def stops_apart(piece: str) -> tuple[str, ...]:
+    """A piece that ends in a letter and full stops or commas, as these two parts: both splitting rules divide there."""
+    base = piece.rstrip(".,")
+    return (base, piece[len(base) :]) if base and base != piece and base[-1].isalpha() else (piece,)
+
+
+def lowered_stops_apart(piece: str) -> tuple[str, ...]:
+    """The same for tokenizers that lower case. Latin-1 letters have one lower-case form, whatever the rule set."""
+    try:
+        piece.encode("latin-1")
+    except UnicodeEncodeError:
+        return stops_apart(piece)
+    return stops_apart(piece.lower())
+
+
 def lowered_words_cut(text: str) -> list[str]:
     """Pieces for tokenizers that drop white space: nothing they match spans a space or a line feed."""
     return text.replace("\n", " ").split(" ")
@@ -131,3 +166,21 @@ def byte_level_cut(text: str) -> list[str]:
     White space other than spaces and line feeds can merge with them into one token, so such a text is one piece.
     """
     return [text] if ODD_SPACE.search(text) else SPACED.findall(text)
+
+
+@dataclass(frozen=True)
+class Splitting:
+    """How texts of a kind of tokenizer are taken apart without a change to their tokens.
+
+    cut: independent pieces of a text in order; fold: shared parts of a piece; joins: parts that may stand in one text
+    with glue, which is one token, between them.
+    """
+
+    cut: Callable[[str], list[str]]
+    fold: Callable[[str], tuple[str, ...]]
+    joins: re.Pattern
+    glue: str
+
+
+LOWERED_WORDS = Splitting(lowered_words_cut, lowered_stops_apart, re.compile(r"[^\s|]+"), " | ")
+BYTE_LEVEL = Splitting(byte_level_cut, stops_apart, re.compile(r" ?\S+"), "\n")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import WordTokens, lowered_words_cut, materialize, small_batches, spare
+from lexweave.llm.common import LOWERED_WORDS, WordTokens, materialize, small_batches, spare
 
 CAPACITY = 2048
 #: Pieces packed together in one task. A group wastes at most part of one sequence, some 0.03 % at this size.
@@ -40,7 +40,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, end, width = WordTokens.of(tokenizer), int(end_id).to_bytes(4, "little"), 4 * capacity
         for batch in batches:
-            made = memory.encode([text or "" for text in batch.column(1).to_pylist()], lowered_words_cut)
+            made = memory.encode([text or "" for text in batch.column(1).to_pylist()], LOWERED_WORDS)
             rows = []
             for doc, ids in zip(batch.column(0).to_pylist(), made):
                 ids += end

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import WordTokens, byte_level_cut, materialize, new_folder, small_batches
+from lexweave.llm.common import BYTE_LEVEL, WordTokens, materialize, new_folder, small_batches
 from lexweave.llm.files import Landing, at
 
 MAGIC = b"LWTOKEN1"
@@ -164,7 +164,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, file
 
         def documents() -> Iterator[tuple[int | None, bytes]]:
             for batch in batches:
-                made = memory.encode([text or "" for text in batch.column(1).to_pylist()], byte_level_cut)
+                made = memory.encode([text or "" for text in batch.column(1).to_pylist()], BYTE_LEVEL)
                 yield from zip(batch.column(0).to_pylist(), (ids + end for ids in made))
 
         uri = f"{folder}/part-{part:07d}.tokens"

@@ -15,7 +15,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,67 +100,72 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, seed: int = 7
     lines, groups, least = plan(reps.count())
     m = lines * groups
 
-    def unit(embedding: pd.Series) -> np.ndarray:
-        made = np.stack(embedding.to_numpy()).astype(np.float64)
+    def unit(embedding: pa.Array) -> np.ndarray:
+        made = embedding.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(embedding), -1)
         made /= np.abs(made).max(axis=1, keepdims=True)
         return made / np.sqrt((made * made).sum(axis=1, keepdims=True))
 
-    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each vector once in its own cell of every group and, as a query, in every cell that its window touches."""
-        for frame in frames:
-            sizes = frame["embedding"].map(len)
-            for dim, part in frame.groupby(sizes):
+        for batch in batches:
+            sizes = np.array([len(v) for v in batch.column("embedding")], np.int64)
+            for dim in np.unique(sizes).tolist():
+                part = batch.take(pa.array(np.flatnonzero(sizes == dim)))
+                labels = part.column("label").to_pylist()
                 w = half_window(dim, threshold)
-                line = (unit(part["embedding"]) @ directions(dim, m, seed)).astype(np.float64)
+                line = unit(part.column("embedding")) @ directions(dim, m, seed)
+
+                def named(at: np.ndarray, which: np.ndarray, query: bool, g: int, part=part, labels=labels, dim=dim) -> pa.RecordBatch:
+                    key = [f"{labels[i]}:{dim}:{g}:{'.'.join(map(str, c))}" for i, c in zip(which.tolist(), at.tolist())]
+                    made = part.take(pa.array(which))
+                    columns = [pa.array(key, pa.string()), pa.array(np.full(len(which), query)), made.column("rep"), made.column("copies"), made.column("embedding")]
+                    return pa.RecordBatch.from_arrays(columns, ["cell", "query", "rep", "copies", "embedding"])
+
+                everyone = np.arange(len(labels))
                 for g in range(groups):
                     own = line[:, g * lines : (g + 1) * lines]
-                    cell = np.floor(own / (4 * w)).astype(np.int64)
                     low, high = np.floor((own - w) / (4 * w)).astype(np.int64), np.floor((own + w) / (4 * w)).astype(np.int64)
-
-                    def named(at: np.ndarray, which: np.ndarray, query: bool, part=part, g=g, dim=dim) -> pd.DataFrame:
-                        made = part.iloc[which]
-                        key = [f"{label}:{dim}:{g}:{'.'.join(map(str, c))}" for label, c in zip(made["label"], at.tolist())]
-                        return pd.DataFrame({"cell": key, "query": query, "rep": made["rep"], "copies": made["copies"], "embedding": made["embedding"]})
-
-                    everyone = np.arange(len(part))
-                    yield named(cell, everyone, False)
+                    yield named(np.floor(own / (4 * w)).astype(np.int64), everyone, False, g)
                     for turn in range(1 << lines):
                         upper = np.array([turn >> k & 1 for k in range(lines)], bool)
                         meant = (~upper | (high > low)).all(axis=1)
-                        yield named(np.where(upper, high, low)[meant], everyone[meant], True)
+                        yield named(np.where(upper, high, low)[meant], everyone[meant], True, g)
 
     schema = f"cell string, query boolean, rep long, copies long, embedding {kind}"
-    dealt = materialize(reps.select("label", "rep", "copies", "embedding").mapInPandas(deal, schema), "vector-cells")
+    dealt = materialize(reps.select("label", "rep", "copies", "embedding").mapInArrow(deal, schema), "vector-cells")
     large = dealt.where(~F.col("query")).groupBy("cell").count().where(F.col("count") > LARGE_CELL)
     large = materialize(large.select("cell", F.ceil(F.col("count") / LARGE_CELL).cast("int").alias("slices")), "large-cells")
     dealt = dealt.join(large, "cell", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
     slices = F.when(F.col("query"), F.array(F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("slices") - 1))
     dealt = dealt.withColumn("slice", F.explode(slices)).drop("slices")
 
-    def links(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
-        for frame in frames:
-            starts = np.flatnonzero((frame["cell"] != frame["cell"].shift()) | (frame["slice"] != frame["slice"].shift()))
-            for a, b in zip(starts, [*starts[1:], len(frame)]):
-                now = (frame["cell"].iat[a], int(frame["slice"].iat[a]))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cells, parts = batch.column("cell").to_pylist(), batch.column("slice").to_numpy()
+            starts = [0, *(k for k in range(1, len(cells)) if cells[k] != cells[k - 1] or parts[k] != parts[k - 1])]
+            for a, b in zip(starts, [*starts[1:], len(cells)]):
+                now = (cells[a], int(parts[a]))
                 if key is not None and now != key:
                     yield from cell(key[0], held)
                     held = []
                 key = now
-                held.append(frame.iloc[a:b])
+                held.append(batch.slice(a, b - a))
         if held:
             yield from cell(key[0], held)
 
-    def cell(name: str, parts: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(parts) if len(parts) > 1 else parts[0]
-        asks = frame["query"].to_numpy(bool)
+    def cell(name: str, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frame = pa.Table.from_batches(parts).combine_chunks()
+        asks = frame.column("query").to_numpy()
         if asks.all() or not asks.any() or len(frame) < 3:
             return
         dim, group = map(int, name.rsplit(":", 3)[1:3])
         w = half_window(dim, threshold)
-        unit_vectors = unit(frame["embedding"])
+        unit_vectors = unit(frame.column("embedding").chunk(0))
         line = unit_vectors @ directions(dim, m, seed)
-        rep, copies = frame["rep"].to_numpy(np.int64), frame["copies"].to_numpy(np.int64)
+        rep, copies = frame.column("rep").to_numpy(), frame.column("copies").to_numpy()
         q, x = np.flatnonzero(asks), np.flatnonzero(~asks)
         side = lambda at: {"rep": rep[at], "line": line[at], "vec": unit_vectors[at]}
         nodes, back = np.unique(rep, return_inverse=True)
@@ -176,9 +181,9 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, seed: int = 7
         label = forest(len(nodes), found())
         linked = np.flatnonzero(total)
         if len(linked):
-            yield pd.DataFrame({"a": nodes[linked], "b": nodes[label[linked]], "n": total[linked]})
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[linked]), pa.array(nodes[label[linked]]), pa.array(total[linked])], ["a", "b", "n"])
 
-    found = dealt.repartition("cell", "slice").sortWithinPartitions("cell", "slice").mapInPandas(links, "a long, b long, n long")
+    found = dealt.repartition("cell", "slice").sortWithinPartitions("cell", "slice").mapInArrow(links, "a long, b long, n long")
     found = materialize(found, "vector-links")
     sums = found.groupBy("a").agg(F.sum("n").alias("n"))
     roots = least_reachable(found)

@@ -26,7 +26,7 @@ MOST_FALSE, LEAST_HIT, MOST_HIT = 0.001, 0.1, 0.4
 
 @dataclass(frozen=True)
 class Rule:
-    """value is a SQL expression over the counts; bad if it is outside [bad_below, bad_above], good if within [good_from, good_to]."""
+    """value is a SQL expression over the counts (null: abstain); bad if it is outside [bad_below, bad_above], good if within [good_from, good_to]."""
 
     name: str
     value: str
@@ -44,13 +44,13 @@ class Rule:
 
 
 RULES = (
-    Rule("few symbols", "n_symbols / n_words", 0, 0.02, bad_above=0.1),
-    Rule("little repetition", "n_repeat_words / n_words", 0, 0.2, bad_above=0.5),
-    Rule("no repeated lines", "n_dup_lines / n_lines", 0, 0.1, bad_above=0.4, when="n_lines >= 4"),
-    Rule("mostly lower case", "n_upper / word_chars", 0, 0.15, bad_above=0.4, when="n_words >= 20"),
-    Rule("words of usual length", "word_chars / n_words", 3.5, 7.5, bad_below=2.5, bad_above=11),
-    Rule("few exclamations", "n_marks / n_words", 0, 0.05, bad_above=0.3, when="n_words >= 20"),
-    Rule("varied words", "n_kinds / sqrt(n_words)", 3.0, math.inf, bad_below=1.5, when="n_words >= 50"),
+    Rule("few symbols", "try_divide(n_symbols, n_words)", 0, 0.02, bad_above=0.1),
+    Rule("little repetition", "try_divide(n_repeat_words, n_words)", 0, 0.2, bad_above=0.5),
+    Rule("no repeated lines", "try_divide(n_dup_lines, n_lines)", 0, 0.1, bad_above=0.4, when="n_lines >= 4"),
+    Rule("mostly lower case", "try_divide(n_upper, word_chars)", 0, 0.15, bad_above=0.4, when="n_words >= 20"),
+    Rule("words of usual length", "try_divide(word_chars, n_words)", 3.5, 7.5, bad_below=2.5, bad_above=11),
+    Rule("few exclamations", "try_divide(n_marks, n_words)", 0, 0.05, bad_above=0.3, when="n_words >= 20"),
+    Rule("varied words", "try_divide(n_kinds, sqrt(n_words))", 3.0, math.inf, bad_below=1.5, when="n_words >= 50"),
 )
 
 

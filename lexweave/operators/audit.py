@@ -291,6 +291,22 @@ def clause_segments(cards: DataFrame, pages: DataFrame) -> DataFrame:
     )
 
 
+def word_counts(texts: DataFrame, keys: list[str], text: Column) -> DataFrame:
+    """Words of normalised texts and how often each occurs: keys, word, n. Counts combine before the shuffle."""
+    return texts.select(*keys, F.explode(X.audit_words(X.audit_norm(text))).alias("word")).groupBy(*keys, "word").agg(F.count("*").alias("n"))
+
+
+def recall_of_counts(pairs: DataFrame, keys: list[str], source: DataFrame, card: DataFrame) -> DataFrame:
+    """Token recall of pairs (keys) from word counts of both sides under the same keys; see token_recall."""
+    none = F.lit(0).cast("bigint")
+    sides = source.select(*keys, "word", F.col("n").alias("s"), none.alias("c")).unionAll(card.select(*keys, "word", none.alias("s"), F.col("n").alias("c")))
+    per_word = sides.groupBy(*keys, "word").agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
+    totals = per_word.groupBy(*keys).agg(F.sum("s").alias("_s"), F.sum("c").alias("_c"), F.sum(F.least("s", "c")).alias("_m"))
+    held = pairs.select(*keys).join(totals, keys, "left").select(*keys, F.coalesce("_s", none).alias("segment_tokens"), F.coalesce("_c", none).alias("card_tokens"), "_m")
+    blank = (F.col("segment_tokens") == 0) | (F.col("card_tokens") == 0)
+    return held.select(*keys, "segment_tokens", "card_tokens", F.when(blank, F.lit(1.0)).otherwise(F.col("_m") / F.col("segment_tokens")).alias("recall"))
+
+
 def token_recall(pairs: DataFrame, keys: list[str], source: Column, card: Column) -> DataFrame:
     """Share of the source words the card holds, counted with repetition; 1.0 where either side has no words.
 
@@ -319,10 +335,12 @@ def token_recall(pairs: DataFrame, keys: list[str], source: Column, card: Column
 
 
 def duplicate_texts(cards: DataFrame) -> DataFrame:
-    """Normalised source texts carried by several cards: needle, ids (sorted), n."""
-    normal = cards.select("card_id", X.audit_norm(F.col("source_text")).alias("needle")).where("needle <> ''")
-    # Only texts that occur twice are gathered, by their hash, so long texts are not shuffled for unique cards.
-    hashed = normal.withColumn("text_hash", F.sha2("needle", 256))
+    """Cards whose normalised source text several cards carry: card_id, text_hash, n.
+
+    Texts are normalised once; only identifiers and hashes are written and shuffled.
+    """
+    normal = F.nullif(X.audit_norm(F.col("source_text")), F.lit(""))
+    hashed = materialize(cards.select("card_id", F.sha2(normal, 256).alias("text_hash")), "text-hashes").where("text_hash is not null")
     groups = hashed.groupBy("text_hash").agg(F.count("*").alias("n")).where("n > 1")
     return hashed.join(groups, "text_hash")
 

@@ -35,19 +35,16 @@ def definitions(units: DataFrame) -> DataFrame:
 
 
 def reference_matches(text: Column) -> Column:
-    """First match of each reference type in a clause: array<struct<ord, reference_type, reference_text>>."""
+    """First match of each reference type in a clause: array<struct<ord, reference_type, reference_text>>.
+
+    Each pattern runs once: a match never has an empty target.
+    """
     found = [
-        F.when(
-            text.rlike(pattern),
-            F.struct(
-                F.lit(i).alias("ord"),
-                F.lit(name).alias("reference_type"),
-                X.strip(X.group(text, pattern, 1)).alias("reference_text"),
-            ),
-        )
+        F.struct(F.lit(i).alias("ord"), F.lit(name).alias("reference_type"), X.group(text, pattern, 1).alias("target"))
         for i, (name, pattern) in enumerate(P.REFERENCES)
     ]
-    return F.filter(F.array(*found), lambda x: x.isNotNull())
+    hits = F.filter(F.array(*found), lambda x: x["target"] != "")
+    return F.transform(hits, lambda x: F.struct(x["ord"].alias("ord"), x["reference_type"].alias("reference_type"), X.strip(x["target"]).alias("reference_text")))
 
 
 def references(units: DataFrame) -> DataFrame:

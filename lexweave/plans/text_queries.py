@@ -7,7 +7,7 @@ from lexweave.functions import text as X
 from lexweave.operators import audit as A
 from lexweave.operators import retrieval as Q
 from lexweave.operators.lines import explode_lines
-from lexweave.operators.quality import MUST_NOT_CHANGE, MUST_NOT_FALL, MUST_NOT_RISE, WELCOME, compare_quality
+from lexweave.operators.quality import compare_quality
 from lexweave.operators.register import warning_register
 from lexweave.plans import corpus as C
 from lexweave.plans.structure_queries import BYLAWS
@@ -96,6 +96,26 @@ def ocr_status(spark: SparkSession, folder: str) -> DataFrame:
     return O.response_headers(responses, O.response_blocks(responses))
 
 
+def extraction_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """What an extraction reports when answers are missing, broken, doubled or without text, per conversation."""
+    number = F.substr("slug", F.lit(6)).cast("bigint")
+    slugs = table(spark, folder, "conversations").select(F.concat(F.lit("conv-"), "conv_id").alias("slug")).distinct()
+    answers = ocr_responses(spark, folder).where(number % 6 > 0)
+    broken = F.when(number % 6 == 1, F.lit('{"result":')).when(number % 6 == 2, F.lit('{"result":{"type":"full","chunks":[]}}')).otherwise(F.col("json"))
+    answers = answers.withColumn("json", broken)
+    answers = answers.unionAll(answers.where(number % 6 == 3))
+    blocks, warned = O.extract_responses(slugs, answers)
+    sizes = blocks.groupBy("slug").agg(F.count("*").alias("blocks"))
+    first = F.filter("w", lambda w: w["severity"] == "error")
+    return slugs.join(warned, "slug", "left").join(sizes, "slug", "left").select(
+        "slug",
+        F.when(F.size(first) > 0, "failed").when(F.size("w") > 0, "review_required").otherwise("ok").alias("status"),
+        F.get(first, F.lit(0))["category"].alias("category"),
+        F.coalesce("blocks", F.lit(0)).alias("blocks"),
+        F.coalesce(F.size(F.filter("w", lambda w: w["severity"] == "warning")), F.lit(0)).alias("warnings"),
+    )
+
+
 def ocr_failures(spark: SparkSession, folder: str) -> DataFrame:
     code = F.element_at(F.array(*[F.lit(c) for c in (401, 429, 504, 442, 415, 422, 500)]), (F.col("event_id") % 9 + 1).cast("int"))
     events = table(spark, folder, "events").select(
@@ -131,13 +151,23 @@ def corpus_header(spark: SparkSession, folder: str) -> DataFrame:
     return manifest_header(docs).withColumn("confidentiality_scope", F.array_join("confidentiality_scope", ","))
 
 
-QUALITY_SQL_RULES = ", ".join(
-    ["CASE WHEN NOT c.success THEN 'candidate_failed' END"]
-    + [f"CASE WHEN c.{m} <> l.{m} THEN '{reason}' END" for m, reason in MUST_NOT_CHANGE]
-    + [f"CASE WHEN c.{m} < l.{m} THEN '{reason}' END" for m, reason in MUST_NOT_FALL]
-    + [f"CASE WHEN c.{m} > l.{m} THEN '{reason}' END" for m, reason in MUST_NOT_RISE]
-)
-QUALITY_SQL_GAINS = ", ".join(f"CASE WHEN c.{m} < l.{m} THEN '{reason}' END" for m, reason in WELCOME)
+QUALITY_SQL_RULES = """
+CASE WHEN NOT c.success THEN 'candidate_failed' END,
+CASE WHEN c.source_hash <> l.source_hash THEN 'source_hash_changed' END,
+CASE WHEN c.deterministic_id_fingerprint <> l.deterministic_id_fingerprint THEN 'deterministic_id_fingerprint_changed' END,
+CASE WHEN c.page_count < l.page_count THEN 'page_count_reduced' END,
+CASE WHEN c.page_anchor_coverage < l.page_anchor_coverage THEN 'page_anchor_coverage_reduced' END,
+CASE WHEN c.part_headings < l.part_headings THEN 'part_headings_lost' END,
+CASE WHEN c.lettered_sections < l.lettered_sections THEN 'lettered_sections_lost' END,
+CASE WHEN c.numbered_clauses < l.numbered_clauses THEN 'numbered_clauses_lost' END,
+CASE WHEN c.definitions < l.definitions THEN 'definitions_lost' END,
+CASE WHEN c.duplicate_heading_ids > l.duplicate_heading_ids THEN 'duplicate_heading_ids_increased' END,
+CASE WHEN c.missing_heading_ids > l.missing_heading_ids THEN 'missing_heading_ids_increased' END,
+CASE WHEN c.hierarchy_transition_errors > l.hierarchy_transition_errors THEN 'hierarchy_transition_errors_increased' END,
+CASE WHEN c.material_warnings > l.material_warnings THEN 'material_warnings_increased' END"""
+QUALITY_SQL_GAINS = """
+CASE WHEN c.material_warnings < l.material_warnings THEN 'material_warnings_reduced' END,
+CASE WHEN c.unresolved_reference_warnings < l.unresolved_reference_warnings THEN 'unresolved_reference_warnings_reduced' END"""
 
 
 def quality_summaries(spark: SparkSession, folder: str) -> DataFrame:
@@ -237,10 +267,11 @@ def duplicate_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word_recall(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    after = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("card"))
-    pairs = docs.join(after, "doc_id")
-    return A.token_recall(pairs, ["doc_id"], F.col("text"), F.col("card")).select(
+    docs = table(spark, folder, "documents")
+    counts = materialize(A.word_counts(docs, ["doc_id"], F.col("text")), "word-counts")
+    before = F.col("doc_id") - 1
+    pairs = docs.select("doc_id").join(docs.select(before.alias("doc_id")), "doc_id")
+    return A.recall_of_counts(pairs, ["doc_id"], counts, counts.withColumn("doc_id", before)).select(
         "doc_id", "segment_tokens", "card_tokens", F.round("recall", 6).alias("recall")
     )
 
@@ -437,6 +468,17 @@ QUERIES = {
         SELECT 'conv-' || conv_id AS slug, 'j' || conv_id AS job_id, CAST(count(*) AS INTEGER) AS page_count, 1.5 AS duration, 'full' AS result_type,
           CAST(sum(w) AS BIGINT) AS warning_count, CASE WHEN sum(w) > 0 THEN 'review_required' ELSE 'ok' END AS status FROM s GROUP BY conv_id""",
     ),
+    "extraction_headers": (
+        extraction_headers,
+        """WITH t AS (SELECT *, conv_id % 6 AS k, CASE WHEN turn % 7 = 3 THEN '  ' ELSE text END AS shown, length(text) AS n FROM conversations),
+        s AS (SELECT *, CASE WHEN trim(shown) = '' THEN 1 ELSE 0 END + CASE WHEN n % 4 = 2 OR (n % 4 = 3 AND n % 100 < 75) THEN 1 ELSE 0 END AS w FROM t),
+        g AS (SELECT conv_id, k, sum(w) AS w, count(*) AS n, max(CASE WHEN trim(shown) <> '' THEN 1 ELSE 0 END) AS full_text FROM s GROUP BY conv_id, k)
+        SELECT 'conv-' || conv_id AS slug,
+          CASE WHEN k IN (0, 1, 2, 3) OR full_text = 0 THEN 'failed' WHEN w > 0 THEN 'review_required' ELSE 'ok' END AS status,
+          CASE WHEN k = 0 THEN 'unknown_provider_error' WHEN k IN (1, 3) THEN 'provider_validation'
+            WHEN k = 2 OR full_text = 0 THEN 'partial_extraction' END AS category,
+          CASE WHEN k > 3 THEN n ELSE 0 END AS blocks, CAST(CASE WHEN k > 3 THEN w ELSE 0 END AS INTEGER) AS warnings FROM g""",
+    ),
     "ocr_failures": (
         ocr_failures,
         """WITH e AS (SELECT [401, 429, 504, 442, 415, 422, 500][event_id % 9 + 1] AS code, event_type = 'error' AS conn, user_id % 5 = 0 AS slow FROM events)

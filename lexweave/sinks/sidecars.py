@@ -27,8 +27,9 @@ def extraction_sidecars(extractions: DataFrame, blocks: DataFrame) -> DataFrame:
         F.concat(F.to_json(header, options), F.lit("\n")).alias("content"), F.lit("raw_extraction").alias("file_type"),
         "slug", F.lit(None).cast("string").alias("clause_id"),
     )
-    texts = exact_text(blocks).select(
-        F.concat(F.lit(".raw/extraction/"), "slug", F.lit(".txt")).alias("path"), F.col("text").alias("content"),
+    suffix = F.when(F.col("provider") == "markdown", ".md").otherwise(".txt")
+    texts = exact_text(blocks).join(extractions.select("slug", "provider"), "slug").select(
+        F.concat(F.lit(".raw/extraction/"), "slug", suffix).alias("path"), F.col("text").alias("content"),
         F.lit("raw_extraction").alias("file_type"), "slug", F.lit(None).cast("string").alias("clause_id"),
     )
     return sidecars.unionByName(texts)

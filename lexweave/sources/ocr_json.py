@@ -109,6 +109,34 @@ def response_headers(responses: DataFrame, blocks: DataFrame) -> DataFrame:
     )
 
 
+def extract_responses(documents: DataFrame, responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Blocks of the answers (slug, json) to documents (slug), and per document everything that is to be reported.
+
+    The second table has a row for every document that raises something: slug, page_count and w, an ordered array of
+    block_ord, ord, category, severity and message. A missing answer, one that is no JSON of the known form, and several
+    answers for one document are errors of that document; an answer without any text is one as well.
+    """
+    given = responses.groupBy("slug").agg(F.count("*").alias("n"), F.min("json").alias("json"))
+    held = documents.select("slug").join(given, "slug", "left").withColumn("chunks", F.from_json("json", RESPONSE)["result"]["chunks"])
+    wrong = (
+        F.when(F.col("json").isNull(), F.lit("No OCR answer was found."))
+        .when(F.col("n") > 1, F.lit("Several OCR answers were found."))
+        .when(F.col("chunks").isNull(), F.lit("The OCR answer could not be read."))
+    )
+    held = held.withColumn("wrong", wrong)
+    readable = held.where(F.col("wrong").isNull()).select("slug", "json")
+    blocks = response_blocks(readable)
+    headers = response_headers(readable, blocks).select("slug", "page_count")
+    texts = blocks.where(X.strip(F.col("text")) != "").select("slug").distinct().withColumn("has_text", F.lit(True))
+    name = F.when(F.col("json").isNotNull(), F.lit("ValidationError"))
+    failed = held.where(F.col("wrong").isNotNull()).select("slug", error_category(F.lit(None).cast("int"), name, F.lit("")).alias("category"), F.col("wrong").alias("message"))
+    empty = readable.join(texts, "slug", "left_anti").select("slug", F.lit("partial_extraction").alias("category"), F.lit("The OCR answer holds no text.").alias("message"))
+    errors = failed.unionByName(empty).select("slug", F.lit(-1).cast("bigint").alias("block_ord"), F.lit(0).alias("ord"), "category", F.lit("error").alias("severity"), "message")
+    raised = errors.unionByName(block_warnings(blocks).select("slug", "block_ord", "ord", "category", "severity", "message"))
+    warned = raised.groupBy("slug").agg(F.sort_array(F.collect_list(F.struct("block_ord", "ord", "category", "severity", "message"))).alias("w"))
+    return blocks.join(headers, "slug", "left"), warned
+
+
 def error_category(status: Column, name: Column, message: Column) -> Column:
     """Warning category of a provider failure from its status code, exception name and message; first rule wins."""
     name, message = F.lower(F.coalesce(name, F.lit(""))), F.lower(F.coalesce(message, F.lit("")))

@@ -9,15 +9,14 @@ from pyspark.sql import functions as F
 PAGES = "slug string, page int, text string, error string"
 
 
-def read_pages(content: bytes) -> list[str]:
-    """Page texts by PyMuPDF, else by PyPDF2."""
-    try:
-        import fitz
-    except ImportError:
-        fitz = None
-    if fitz is not None:
-        with fitz.open(stream=content, filetype="pdf") as document:
-            return [page.get_text() or "" for page in document]
+def by_mupdf(content: bytes) -> list[str]:
+    import fitz
+
+    with fitz.open(stream=content, filetype="pdf") as document:
+        return [page.get_text() or "" for page in document]
+
+
+def by_pypdf(content: bytes) -> list[str]:
     import io
 
     from PyPDF2 import PdfReader
@@ -25,6 +24,17 @@ def read_pages(content: bytes) -> list[str]:
     return [page.extract_text() or "" for page in PdfReader(io.BytesIO(content)).pages]
 
 
+def read_pages(content: bytes, readers: tuple[Callable[[bytes], list[str]], ...] = (by_mupdf, by_pypdf)) -> list[str]:
+    """Page texts by the first reader that is installed and can read the file."""
+    failures = []
+    for reader in readers:
+        try:
+            return reader(content)
+        except Exception as failure:  # noqa: BLE001 - the next reader may do better
+            failures.append(f"{type(failure).__name__}: {failure}")
+    raise ValueError("; ".join(failures))
+
+
 def pdf_pages(files: DataFrame, reader: Callable[[bytes], list[str]] = read_pages) -> DataFrame:
     """Pages of PDF files (slug, content). A file that cannot be read gives one row with the error."""
 
@@ -35,12 +45,23 @@ def pdf_pages(files: DataFrame, reader: Callable[[bytes], list[str]] = read_page
                     texts, error = reader(bytes(content)), None
                 except Exception as failure:  # noqa: BLE001 - any reader failure becomes a row
                     texts, error = [None], f"{type(failure).__name__}: {failure}"
+                texts = texts or [None]  # a file without pages is reported as well
                 pages = range(1, len(texts) + 1)
                 yield pd.DataFrame({"slug": slug, "page": pages, "text": texts, "error": error})
 
     return files.select("slug", "content").mapInPandas(read, PAGES)
 
 
+def pdf_errors(pages: DataFrame) -> DataFrame:
+    """Files that cannot be read and files without any text: slug, category, message."""
+    per_file = pages.groupBy("slug").agg(F.max("error").alias("error"), F.max(F.length(F.trim(F.coalesce("text", F.lit(""))))).alias("longest"))
+    return per_file.where(F.col("error").isNotNull() | (F.col("longest") == 0)).select(
+        "slug",
+        F.when(F.col("error").isNotNull(), "pdf_corrupt_or_unsupported").otherwise("partial_extraction").alias("category"),
+        F.coalesce("error", F.lit("No page of the PDF has a text layer.")).alias("message"),
+    )
+
+
 def pdf_blocks(pages: DataFrame) -> DataFrame:
     """Blocks of PDF pages (slug, page, text), ready for the profile parsers."""
     good = pages.where(F.col("text").isNotNull())

@@ -234,9 +234,9 @@ def policy_blocks(spark: SparkSession, folder: str) -> DataFrame:
             "busy",
         ),
         pages,
-        customers.select(slug, (at + CUSTOMER / 2).cast("bigint").alias("block_ord"), page, dates.alias("text"), "busy"),
+        customers.select(slug, (at + CUSTOMER // 2).cast("bigint").alias("block_ord"), page, dates.alias("text"), "busy"),
         customers.where(F.col("k") % 3 == 0).select(
-            slug, (at + CUSTOMER / 2 + 1).cast("bigint").alias("block_ord"), page,
+            slug, (at + CUSTOMER // 2 + 1).cast("bigint").alias("block_ord"), page,
             F.lit("(z) Late additions follow.").alias("text"), "busy",
         ),
     ]

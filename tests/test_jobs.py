@@ -80,7 +80,7 @@ def test_compiled_files(compiled):
     assert sorted(p.stem for p in opened) == ["act-7.2-higher-authority-than-1"]
     club = (out / "legal/clauses/bylaws/club-part-i-section-a-clause-2.md").read_text(encoding="utf-8")
     assert "subject_to:\n- club-part-i-section-b-clause-1\n" in club
-    assert (out / ".raw/sources/club.pdf").is_file() and (out / ".raw/extraction/rules.txt").read_text().startswith("# Fictional")
+    assert (out / ".raw/sources/club.pdf").is_file() and (out / ".raw/extraction/rules.md").read_text().startswith("# Fictional")
     assert b"\r" not in (out / "index.md").read_bytes()
 
 

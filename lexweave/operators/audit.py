@@ -15,7 +15,7 @@ from lexweave.session import materialize
 # Thresholds of the page confirmation and of the verdict.
 LONG_TEXT_WORDS, EDGE_WORDS = 14, 8
 TEXT_COVERAGE, LINE_COVERAGE, SHORT_LINE_WORDS = 0.82, 0.9, 5
-RECALL_FLOOR, SEGMENT_SLACK, SEGMENT_PAGES = 0.78, 8, 3
+RECALL_FLOOR, SEGMENT_SLACK, ANCHOR_PAGES = 0.78, 8, 3
 
 
 def clean_page_lines(text: Column) -> Column:
@@ -240,55 +240,81 @@ def found_pages(cards: DataFrame, pages: DataFrame) -> DataFrame:
     return found.groupBy("doc", "card_id").agg(F.sort_array(F.collect_set("page")).alias("pages"))
 
 
+def segment_pages(pages: DataFrame) -> DataFrame:
+    """Per page with text: its lines, the six lines after it, its numbered lines, its headings and the next heading behind it.
+
+    Only a few facts per page go through the windows over the pages of a document; lines stay with their page.
+    """
+    lines = pages.select("doc", "page", clean_page_lines(F.col("text")).alias("lines")).where(F.size("lines") > 0)
+    along = Window.partitionBy("doc").orderBy("page")
+    top = materialize(lines.select("doc", "page", F.slice("lines", 1, 6).alias("top")), "segment-tops")
+    none = F.array().cast("array<string>")
+    ahead = F.slice(F.concat(*[F.coalesce(F.lead("top", k).over(along), none) for k in range(1, 7)]), 1, 6)
+    held = lines.join(top.select("doc", "page", ahead.alias("ahead")), ["doc", "page"])
+    after = lambda i: F.coalesce(F.get("lines", i + 1), F.get("ahead", i + 1 - F.size("lines")), F.lit(""))
+    heading = lambda line, i: (
+        line.rlike(r"(?U)^[A-Z]\.\s+[A-Z]")
+        | ((F.length(line) <= 55) & line.rlike("[A-Za-z]") & ~line.rlike(r"[.;:,]$") & after(i).rlike(r"^[A-Z]\.$"))
+        | line.rlike(r"(?U)^Section\s+\d+:")
+        | line.rlike(r"(?U)^Part\s+[IVX]+:")
+    )
+    places = lambda found: F.filter(found, lambda i: i.isNotNull())
+    numbered = F.transform("lines", lambda line, i: F.struct(X.present(F.regexp_extract(line, r"(?U)^(\d+)\.\s", 1)).try_cast("bigint").alias("number"), i.alias("i")))
+    marked = materialize(
+        held.withColumns(
+            {
+                "heads": places(F.transform("lines", lambda line, i: F.when(heading(line, i), i))),
+                "numbers": F.filter(numbered, lambda s: s["number"].isNotNull()),
+            }
+        ),
+        "segment-pages",
+    )
+    first = marked.where(F.size("heads") > 0).select("doc", "page", F.struct("page", F.get("heads", F.lit(0)).alias("i")).alias("head"))
+    below = along.rowsBetween(1, Window.unboundedFollowing)
+    beyond = marked.select("doc", "page").join(first, ["doc", "page"], "left").select("doc", "page", F.min("head").over(below).alias("next_head"), F.max("page").over(Window.partitionBy("doc")).alias("last_page"))
+    return materialize(marked.join(beyond, ["doc", "page"]), "segment-facts")
+
+
 def clause_segments(cards: DataFrame, pages: DataFrame) -> DataFrame:
-    """Source segment of each numbered clause on its anchor page and the two after: doc, card_id, segment.
+    """Source segment of each numbered clause: doc, card_id, segment.
 
-    The start is the line with the clause's number whose next six lines share most words with the head of the card
-    (the later one on a tie); the end is the next number, a heading, or the end of the three pages.
+    The start is the line with the clause's number, on the anchor page or one of the ANCHOR_PAGES - 1 after it, whose next
+    six lines share most words with the head of the card (the later one on a tie). The end is the next number or heading,
+    on whatever page it stands, or else the end of the document.
     """
+    facts = segment_pages(pages)
     number = F.regexp_extract("source_text", r"(?U)^\s*(\d+)\.\s+", 1)
     head = F.array_join(F.slice(F.split(X.collapse(F.col("source_text")), " "), 1, 18), " ")
     wanted = cards.where((F.col("unit_type") == "clause") & (number != "") & (F.col("page_start") > 0)).select(
         "doc", "card_id", number.cast("bigint").alias("number"), X.audit_words(X.audit_norm(head)).alias("head"),
-        F.explode(F.sequence("page_start", F.col("page_start") + SEGMENT_PAGES - 1)).alias("page"),
-    )
-    lines = pages.select("doc", "page", clean_page_lines(F.col("text")).alias("page_lines"))
-    gathered = (
-        wanted.join(lines, ["doc", "page"])
-        .groupBy("doc", "card_id", "number", "head")
-        .agg(F.sort_array(F.collect_list(F.struct("page", "page_lines"))).alias("_p"))
-        .withColumn("lines", F.flatten("_p.page_lines"))
-    )
-    opens = lambda line, n: F.rlike(line, F.concat(F.lit("(?U)^"), n.cast("string"), F.lit(r"\.\s")))
-    overlap = lambda i: F.size(
-        F.array_intersect("head", X.audit_words(X.audit_norm(F.array_join(F.slice("lines", i + 1, F.lit(6)), " "))))
-    )
-    starts = F.filter(
-        F.transform(
-            "lines", lambda line, i: F.when(opens(line, F.col("number")), F.struct(overlap(i).alias("overlap"), i.alias("i")))
-        ),
-        lambda s: s.isNotNull(),
-    )
-    started = gathered.withColumn("start", F.array_max(starts)["i"]).where(F.col("start").isNotNull())
-    stops = lambda line, i: (
-        opens(line, F.col("number") + 1)
-        | line.rlike(r"(?U)^[A-Z]\.\s+[A-Z]")
-        | (
-            (F.length(line) <= 55)
-            & line.rlike("[A-Za-z]")
-            & ~line.rlike(r"[.;:,]$")
-            & F.coalesce(F.get("lines", i + 1).rlike(r"^[A-Z]\.$"), F.lit(False))
-        )
-        | line.rlike(r"(?U)^Section\s+\d+:")
-        | line.rlike(r"(?U)^Part\s+[IVX]+:")
-    )
-    ends = F.filter(
-        F.transform("lines", lambda line, i: F.when((i > F.col("start")) & stops(line, i), i)), lambda i: i.isNotNull()
-    )
-    end = F.coalesce(F.array_min(ends), F.size("lines"))
-    return started.select(
-        "doc", "card_id", F.array_join(F.slice("lines", F.col("start") + 1, end - F.col("start")), " ").alias("segment")
-    )
+        F.explode(F.sequence("page_start", F.col("page_start") + ANCHOR_PAGES - 1)).alias("page"),
+    )
+    near = F.array_join(F.slice(F.concat("lines", "ahead"), F.col("n.i") + 1, F.lit(6)), " ")
+    openers = facts.select("doc", "page", "lines", "ahead", "heads", "next_head", "last_page", F.explode("numbers").alias("n"))
+    openers = openers.select("doc", "page", "heads", "next_head", "last_page", F.col("n.number").alias("number"), F.col("n.i").alias("i"), X.audit_words(X.audit_norm(near)).alias("near"))
+    openers = materialize(openers, "segment-openers")
+    place = F.struct("page", "i")
+    starts = (
+        wanted.join(openers, ["doc", "page", "number"])
+        .withColumn("rank", F.struct(F.size(F.array_intersect("head", "near")).alias("overlap"), "page", "i"))
+        .groupBy("doc", "card_id", "number")
+        .agg(F.max_by(F.struct("page", "i", F.filter("heads", lambda h: h > F.col("i")).alias("heads"), "next_head", "last_page"), F.col("rank")).alias("s"))
+        .select("doc", "card_id", (F.col("number") + 1).alias("number"), F.struct("s.page", "s.i").alias("place"), "s.heads", "s.next_head", "s.last_page")
+    )
+    # The first line with the next number behind each start: both are put in one order, per document and number.
+    marks = openers.select("doc", "number", place.alias("place"), place.alias("opener"), F.lit(None).cast("string").alias("card_id"))
+    mixed = marks.unionByName(starts.select("doc", "number", "place", "card_id"), allowMissingColumns=True)
+    behind = Window.partitionBy("doc", "number").orderBy(F.col("place").desc(), F.col("card_id").isNull().desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbers = mixed.withColumn("next_number", F.last("opener", ignorenulls=True).over(behind)).where(F.col("card_id").isNotNull()).select("doc", "card_id", "next_number")
+    same_page = F.when(F.size("heads") > 0, F.struct(F.col("place.page").alias("page"), F.get("heads", F.lit(0)).alias("i")))
+    end = F.least(F.coalesce(same_page, F.col("next_head")), F.col("next_number"))
+    bounded = starts.join(numbers, ["doc", "card_id"]).select("doc", "card_id", "place", end.alias("end"), F.coalesce(end["page"], "last_page").alias("to_page"))
+    each = bounded.withColumn("page", F.explode(F.sequence("place.page", "to_page"))).join(facts.select("doc", "page", "lines"), ["doc", "page"])
+    begin = F.when(F.col("page") == F.col("place.page"), F.col("place.i")).otherwise(F.lit(0))
+    stop = F.when(F.col("page") == F.col("end.page"), F.col("end.i")).otherwise(F.size("lines"))
+    kept = each.select("doc", "card_id", F.struct("page", F.slice("lines", begin + 1, stop - begin).alias("lines")).alias("p"))
+    gathered = kept.groupBy("doc", "card_id").agg(F.flatten(F.sort_array(F.collect_list("p")).getField("lines")).alias("lines"))
+    return gathered.select("doc", "card_id", F.array_join("lines", " ").alias("segment"))
 
 
 def word_counts(texts: DataFrame, keys: list[str], text: Column) -> DataFrame:
@@ -345,10 +371,15 @@ def duplicate_texts(cards: DataFrame) -> DataFrame:
     return hashed.join(groups, "text_hash")
 
 
+def quoted(doc: str) -> str:
+    """A slug as a pattern that matches itself only."""
+    return f"\\Q{doc}\\E"
+
+
 def set_facts(cards: DataFrame, doc: str) -> DataFrame:
     """Facts about a whole card set: numbered sections of Part II, letters of Part I and the gaps between them."""
-    section = F.regexp_extract("card_id", f"^{doc}-part-ii-section-(\\d+)$", 1)
-    letter = F.regexp_extract("card_id", f"^{doc}-part-i-section-([a-z])$", 1)
+    section = F.regexp_extract("card_id", f"^{quoted(doc)}-part-ii-section-(\\d+)$", 1)
+    letter = F.regexp_extract("card_id", f"^{quoted(doc)}-part-i-section-([a-z])$", 1)
     facts = cards.agg(
         F.sort_array(F.collect_set(F.nullif(section, F.lit("")).cast("int"))).alias("numbered_sections"),
         F.sort_array(F.collect_set(F.nullif(letter, F.lit("")))).alias("letters"),
@@ -364,10 +395,10 @@ def missing_letters(letters: Column) -> Column:
 
 def collision_hosts(cards: DataFrame, doc: str) -> DataFrame:
     """Part I sections that own clauses with a page suffix, by the clause's identifier or by the section's children."""
-    clause = f"^({doc}-part-i-section-[a-z])-clause-\\d+-p\\d+$"
+    clause = f"^({quoted(doc)}-part-i-section-[a-z])-clause-\\d+-p\\d+$"
     owned = cards.select(F.regexp_extract("card_id", clause, 1).alias("card_id")).where("card_id <> ''")
     listed = cards.where(
-        F.col("card_id").rlike(f"^{doc}-part-i-section-[a-z]$") & F.exists("child_ids", lambda c: c.rlike(clause))
+        F.col("card_id").rlike(f"^{quoted(doc)}-part-i-section-[a-z]$") & F.exists("child_ids", lambda c: c.rlike(clause))
     ).select("card_id")
     return owned.union(listed).distinct()
 
@@ -533,7 +564,7 @@ def audit(cards: DataFrame, pages: DataFrame, doc: str) -> DataFrame:
         F.explode(F.array(F.lit(f"{doc}-part-i"), F.lit(f"{doc}-part-ii"))).alias("card_id"), "numbered_sections", "missing_letters"
     )
     hosts = collision_hosts(cards, doc).withColumn("_host", F.lit(True))
-    numbered = f"^{doc}-part-ii-section-\\d+$"
+    numbered = f"^{quoted(doc)}-part-ii-section-\\d+$"
     cid = F.col("card_id")
     flat = (
         F.when(~cid.startswith(f"{doc}-part-ii"), F.lit(False))
@@ -557,7 +588,7 @@ def audit(cards: DataFrame, pages: DataFrame, doc: str) -> DataFrame:
             {
                 "duplicate_ids": F.coalesce("duplicate_ids", empty),
                 "anchor_issue": anchor_issue(),
-                "misfiled": cid.rlike(f"^{doc}-part-i-section-[a-z]-clause-\\d+-p\\d+$"),
+                "misfiled": cid.rlike(f"^{quoted(doc)}-part-i-section-[a-z]-clause-\\d+-p\\d+$"),
                 "gap_issue": gap,
                 "flat_section": flat,
             }

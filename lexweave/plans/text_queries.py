@@ -1,6 +1,6 @@
 """Queries on source text, extraction, retrieval and audit measures, with their SQL."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexweave.functions import text as X
@@ -276,6 +276,22 @@ def word_recall(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def clause_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments of clauses that run over as many pages as an order has items; a customer's orders are one document."""
+    items = table(spark, folder, "lineitem").join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    own = Window.partitionBy("o_custkey").orderBy("o_orderkey", "l_linenumber")
+    items = items.select(
+        F.concat(F.lit("cust-"), "o_custkey").alias("doc"), F.concat(F.lit("order-"), "o_orderkey").alias("card_id"), "o_orderkey", "l_linenumber",
+        F.dense_rank().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).alias("n"), F.row_number().over(own).alias("page"),
+        F.row_number().over(Window.partitionBy("o_custkey", "o_orderkey").orderBy("l_linenumber")).alias("i"),
+    )
+    opening = F.concat(F.col("n"), F.lit(". Order "), "o_orderkey", F.lit(" opens;"))
+    more = F.concat(F.lit("item "), "l_linenumber", F.lit(" of order "), "o_orderkey", F.lit(" follows;"))
+    items = materialize(items.withColumn("text", F.when(F.col("i") == 1, opening).otherwise(more)), "order-pages")
+    cards = items.where("i = 1").select("doc", "card_id", F.lit("clause").alias("unit_type"), F.col("text").alias("source_text"), F.col("page").alias("page_start"))
+    return A.clause_segments(cards, items.select("doc", "page", "text"))
+
+
 def confirmed_pages(spark: SparkSession, folder: str) -> DataFrame:
     cards = table(spark, folder, "benchmark").select(
         F.lit("all").alias("doc"), F.col("item_id").alias("card_id"), F.col("text").alias("source_text")
@@ -468,6 +484,14 @@ QUERIES = {
         SELECT 'conv-' || conv_id AS slug, 'j' || conv_id AS job_id, CAST(count(*) AS INTEGER) AS page_count, 1.5 AS duration, 'full' AS result_type,
           CAST(sum(w) AS BIGINT) AS warning_count, CASE WHEN sum(w) > 0 THEN 'review_required' ELSE 'ok' END AS status FROM s GROUP BY conv_id""",
     ),
+    "clause_segments": (
+        clause_segments,
+        """WITH l AS (SELECT o_custkey AS c, o_orderkey AS k, l_linenumber AS item,
+          dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n,
+          row_number() OVER (PARTITION BY o_custkey, o_orderkey ORDER BY l_linenumber) AS i FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+        SELECT 'cust-' || c AS doc, 'order-' || k AS card_id, string_agg(CASE WHEN i = 1 THEN n || '. Order ' || k || ' opens;'
+          ELSE 'item ' || item || ' of order ' || k || ' follows;' END, ' ' ORDER BY i) AS segment FROM l GROUP BY c, k""",
+    ),
     "extraction_headers": (
         extraction_headers,
         """WITH t AS (SELECT *, conv_id % 6 AS k, CASE WHEN turn % 7 = 3 THEN '  ' ELSE text END AS shown, length(text) AS n FROM conversations),

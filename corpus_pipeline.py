@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from lexweave.llm import mixing, packing, quality, secrets, simhash
 from lexweave.llm.common import documents, materialize
 
+#: Differing bits at which fingerprints link, and independent fingerprints per document.
+NEAR_BITS, NEAR_TABLES = 4, 16
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
@@ -20,8 +23,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest doc_id."""
-    return simhash.deduplicate(docs)
+    """One document of each group of near copies: that with the smallest doc_id.
+
+    One fingerprint misses most copies that share about 0.8 of their shingles, so that sixteen are compared; see README.
+    """
+    return simhash.deduplicate(docs, distance=NEAR_BITS, tables=NEAR_TABLES)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

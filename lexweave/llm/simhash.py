@@ -29,37 +29,57 @@ FAN = 8
 FRONTIER = 1 << 20
 
 
-def simhash(text: str | None, size: int = 3, seed: int = SEED) -> int:
-    """Fingerprint of a whole text as an unsigned number; 0 without words, the hash of the whole sequence below `size` words.
+def simhashes(text: str | None, size: int = 3, seed: int = SEED, tables: int = 1) -> list[int]:
+    """Fingerprints of a whole text as unsigned numbers; 0 without words, the hash of the whole sequence below `size` words.
 
-    bytes.lower() changes A-Z only and bytes.split() splits at space and \\x09-\\x0D, as the word rule says.
+    The first is made of the shingles' hashes, each other one of the same hashes mixed in its own way. bytes.lower()
+    changes A-Z only and bytes.split() splits at space and \\x09-\\x0D, as the word rule says.
     """
     import xxhash
 
     made = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not made:
-        return 0
+        return [0] * tables
     digest = xxhash.xxh64_intdigest
     if len(made) <= size:
-        return digest(b" ".join(made), seed)
-    hashes = np.array([digest(b" ".join(part), seed) for part in zip(*(made[i:] for i in range(size)))], np.uint64)
+        hashes = np.array([digest(b" ".join(made), seed)], np.uint64)
+    else:
+        hashes = np.array([digest(b" ".join(part), seed) for part in zip(*(made[i:] for i in range(size)))], np.uint64)
+    return [majority(hashes if t == 0 else mixed(hashes, t)) for t in range(tables)]
+
+
+def mixed(hashes: np.ndarray, table: int) -> np.ndarray:
+    """Hashes turned into others, one to one: products with odd numbers and shifts."""
+    made = hashes * np.uint64(2 * (table * 0x9E3779B97F4A7C15 % (1 << 63)) + 1)
+    made ^= made >> np.uint64(29)
+    made *= np.uint64(0xBF58476D1CE4E5B9)
+    return made ^ made >> np.uint64(32)
+
+
+def majority(hashes: np.ndarray) -> int:
     ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 15):
+        part = hashes[at : at + (1 << 15)].astype(">u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.uint16)
     return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, size: int = 3, seed: int = SEED) -> DataFrame:
-    """doc_id, fp (the fingerprint's 64 bits as a signed long) and text_hash of every row; a null text has no words."""
+def fingerprints(docs: DataFrame, size: int = 3, seed: int = SEED, tables: int = 1) -> DataFrame:
+    """doc_id, fp (the fingerprint's 64 bits as a signed long), text_hash and more (fingerprints of other tables) of every row.
+
+    A null text has no words.
+    """
     small_batches(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([simhash(text, size, seed) for text in batch.column(2).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made), batch.column(1)], ["doc_id", "fp", "text_hash"])
+            made = [simhashes(text, size, seed, tables) for text in batch.column(2).to_pylist()]
+            made = np.array(made, np.uint64).reshape(-1, tables).view(np.int64)
+            columns = [batch.column(0), pa.array(made[:, 0].copy()), batch.column(1), pa.array(list(made[:, 1:]), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "text_hash", "more"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(work, "doc_id long, fp long, text_hash long")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(work, "doc_id long, fp long, text_hash long, more array<long>")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -74,9 +94,8 @@ class GrayIndex:
     """Nodes over fingerprints sorted by bucket and Gray rank, from the rows (level 0) up to one root per bucket."""
 
     def __init__(self, buckets: np.ndarray, codes: np.ndarray):
-        order = np.lexsort((gray_rank(codes), buckets))
-        self.codes = codes[order]
-        group = np.unique(buckets[order], return_inverse=True)[1].astype(np.int64)
+        self.codes = codes
+        group = np.concatenate([[0], np.cumsum(np.diff(buckets) != 0)])[: len(codes)]
         self.levels = []  # of the lowest first: first child, end of children, mask not held by the parent, value
         low, high, of = self.codes, self.codes, group
         shared = []
@@ -137,19 +156,27 @@ def forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
 
 
 def bucket_links(frames: Iterator[pd.DataFrame], distance: int) -> Iterator[pd.DataFrame]:
-    """Links (a, b) among the fingerprints of the buckets of one partition, one per linked row."""
+    """Links (a, b) among the nodes whose fingerprints meet in the buckets of one partition, one per linked node."""
     parts = list(frames)
     if not parts:
         return
     rows = pd.concat(parts)
-    index = GrayIndex(rows["bucket"].to_numpy(np.int64), rows["fp"].to_numpy(np.int64).view(np.uint64))
+    bucket, fp, node = (rows[name].to_numpy(np.int64) for name in ("bucket", "fp", "node"))
+    del rows, parts
+    order = np.lexsort((gray_rank(fp.view(np.uint64)), bucket))
+    bucket, fp, node = bucket[order], fp[order], node[order]
+    # equal fingerprints of a bucket are one row of the index
+    new = np.concatenate([[True], (np.diff(bucket) != 0) | (np.diff(fp) != 0)])
+    index = GrayIndex(bucket[new], fp[new].view(np.uint64))
     n = len(index.codes)
     step = max(1, FRONTIER // 64)
     found = (pair for s in range(0, n, step) for pair in index.pairs(np.arange(s, min(n, s + step)), distance))
-    label = forest(n, found)
-    linked = np.flatnonzero(label != np.arange(n))
-    codes = index.codes.view(np.int64)
-    yield pd.DataFrame({"a": codes[linked], "b": codes[label[linked]]}).drop_duplicates()
+    group = forest(n, found)[np.cumsum(new) - 1]
+    order = np.lexsort((node, group))
+    first = np.concatenate([[True], np.diff(group[order]) != 0])
+    top = node[order][np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
+    made = pd.DataFrame({"a": node[order], "b": top})
+    yield made[made["a"] != made["b"]].drop_duplicates()
 
 
 def blocks(rest: Column, bits: int, parts: int) -> Column:
@@ -166,41 +193,50 @@ def blocks(rest: Column, bits: int, parts: int) -> Column:
 
 
 def near_links(prints: DataFrame, distance: int = 3, large: int = LARGE_BUCKET) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp) whose closure is that of all pairs within `distance` bits."""
+    """Links (a, b) between nodes whose closure is that of all pairs of nodes within `distance` bits in a table.
+
+    prints: node, fp and bucket (the number of the table), distinct.
+    """
     parts = distance + 1
-    rows = prints.select("fp", F.lit(0).cast("long").alias("bucket"), F.col("fp").alias("rest"))
+    rows = materialize(prints.select("node", "fp", "bucket"), "codes").withColumn("rest", F.col("fp"))
     bits, ready = 64, []
     while True:
         width = bits // parts
-        spread = rows.select("fp", "bucket", F.explode(blocks(F.col("rest"), bits, parts)).alias("s"))
+        spread = rows.select("node", "fp", "bucket", F.explode(blocks(F.col("rest"), bits, parts)).alias("s"))
         key = (F.col("bucket") * parts + F.col("s.block")) * (1 << width) + F.col("s.value")
-        spread = materialize(spread.select("fp", key.alias("bucket"), F.col("s.rest").alias("rest")), "buckets")
+        spread = spread.select("node", "fp", key.alias("bucket"), F.col("s.rest").alias("rest"))
         bits -= width
         if bits // parts < 8:
             ready.append((spread, None))
             break
         hot = materialize(spread.groupBy("bucket").count().where(F.col("count") > large).select("bucket"), "large")
-        ready.append((spread, hot))
         if not hot.count():
+            ready.append((spread, None))
             break
-        rows = spread.join(hot, "bucket", "left_semi")
+        ready.append((spread, hot))
+        rows = materialize(spread.join(hot, "bucket", "left_semi"), "large-rows")
     links = None
     for spread, hot in ready:
         cold = spread if hot is None else spread.join(hot, "bucket", "left_anti")
-        found = cold.select("bucket", "fp").repartition("bucket").mapInPandas(lambda frames: bucket_links(frames, distance), "a long, b long")
+        found = cold.select("bucket", "fp", "node").repartition("bucket").mapInPandas(lambda frames: bucket_links(frames, distance), "a long, b long")
         links = found if links is None else links.unionAll(found)
     return links
 
 
-def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 3, seed: int = SEED) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 3, seed: int = SEED, tables: int = 1) -> DataFrame:
     """One row per document: doc_id, text_hash, fp, component_id (the smallest doc_id reachable).
 
-    A null doc_id takes part and is its component's id only where no document of the component has one. Repeated rows
-    stay. Texts without words share fingerprint zero and are linked like any other. Empty input, empty result.
+    Documents link if their fingerprints differ in at most `distance` bits in one of the tables. A null doc_id takes part
+    and is its component's id only where no document of the component has one. Repeated rows stay. Texts without words
+    share fingerprint zero and are linked like any other. Empty input, empty result.
     """
-    rows = materialize(fingerprints(docs, size, seed), "fingerprints")
+    rows = materialize(fingerprints(docs, size, seed, tables), "fingerprints")
     prints = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
-    roots = least_reachable(materialize(near_links(prints, distance), "links"))
+    codes = prints.select(F.col("fp").alias("node"), "fp", F.lit(0).cast("long").alias("bucket"))
+    if tables > 1:
+        others = rows.select(F.col("fp").alias("node"), F.posexplode("more").alias("table", "code")).distinct()
+        codes = codes.unionAll(others.select("node", F.col("code").alias("fp"), (F.col("table") + 1).cast("long")))
+    roots = least_reachable(materialize(near_links(codes, distance), "links"))
     nodes = prints.join(roots, prints.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     nodes = materialize(nodes, "nodes")
     names = materialize(nodes.groupBy("root").agg(F.min("least").alias("component_id")), "components")
@@ -212,12 +248,12 @@ def hex64(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def deduplicate(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFrame:
+def deduplicate(docs: DataFrame, size: int = 3, distance: int = 3, tables: int = 1) -> DataFrame:
     """One document of each component: the one with the smallest doc_id (null last), then the smallest text hash.
 
     Rows that repeat both doc_id and text are one document. All columns of docs are returned as they are.
     """
-    found = near_duplicates(docs, size, distance)
+    found = near_duplicates(docs, size, distance, tables=tables)
     group = F.coalesce(F.concat(F.lit("c"), F.col("component_id")), F.concat(F.lit("f"), F.col("fp")))
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
     kept = found.groupBy(group.alias("g")).agg(F.min(first).alias("m")).select(F.col("m.doc_id").alias("keep_id"), F.col("m.text_hash").alias("keep_hash"))

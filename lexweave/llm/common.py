@@ -1,6 +1,7 @@
 """Helpers shared by the operators of this folder."""
 
 import re
+import string
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -137,8 +138,8 @@ class WordTokens(dict):
 
 
 def stops_apart(piece: str) -> tuple[str, ...]:
-    """A piece that ends in a letter and full stops or commas, as these two parts: both splitting rules divide there."""
-    base = piece.rstrip(".,")
+    """A piece that ends in a letter and ASCII punctuation, as these two parts: both splitting rules divide there."""
+    base = piece.rstrip(string.punctuation)
     return (base, piece[len(base) :]) if base and base != piece and base[-1].isalpha() else (piece,)
 
 

@@ -71,7 +71,11 @@ def main(argv: list[str] | None = None) -> int:
     audit.add_argument("output")
     audit.add_argument("--pages", required=True, help="Parquet table of source pages (page, text)")
     audit.add_argument("--doc", required=True, help="slug that the card identifiers start with")
-    audit.add_argument("--rows", help="folder for the audit rows (CSV)")
+    audit.add_argument("--rows", help="folder for the audit rows (CSV); summary and patterns go beside it")
+    audit.add_argument("--register", help="warning register (JSON rows) whose warnings the cards carry")
+    register = commands.add_parser("register")
+    register.add_argument("output")
+    register.add_argument("target", help="folder for the register files")
     audit.add_argument("--fail-on-findings", action="store_true")
     args = parser.parse_args(argv)
 
@@ -100,8 +104,10 @@ def main(argv: list[str] | None = None) -> int:
             print(jobs.corpus_report(spark, args.output), end="")
         elif args.command == "gold":
             jobs.gold_evaluation(spark, args.output, args.questions, args.top_k).show(truncate=False)
+        elif args.command == "register":
+            print(json.dumps(jobs.write_register(spark, args.output, args.target), indent=2))
         elif args.command == "audit":
-            result = jobs.audit_corpus(spark, args.output, spark.read.parquet(args.pages), args.doc, args.rows)
+            result = jobs.audit_corpus(spark, args.output, spark.read.parquet(args.pages), args.doc, args.rows, args.register)
             print(json.dumps(result, indent=2))
             return 2 if args.fail_on_findings and (result["blocked"] or result["p1_count"]) else 0
     except (jobs.CompileError, ManifestError) as error:

@@ -8,7 +8,7 @@ from lexweave.operators import audit as A
 from lexweave.operators import retrieval as Q
 from lexweave.operators.lines import explode_lines
 from lexweave.operators.quality import compare_quality
-from lexweave.operators.register import warning_register
+from lexweave.operators.register import warning_links, warning_register
 from lexweave.plans import corpus as C
 from lexweave.plans.structure_queries import BYLAWS
 from lexweave.session import materialize
@@ -447,6 +447,10 @@ def reference_register(spark: SparkSession, folder: str) -> DataFrame:
     return warning_register(rows)
 
 
+def warned_clauses(spark: SparkSession, folder: str) -> DataFrame:
+    return warning_links(reference_register(spark, folder)).withColumn("warning_ids", F.array_join("warning_ids", ","))
+
+
 QUERIES = {
     "source_lines": (source_lines, LINES + "SELECT doc_id, line_no, line FROM kept"),
     "line_profile": (
@@ -610,6 +614,11 @@ QUERIES |= {
         VERDICTS + """SELECT rtrim(split_part(issue, '. ', 1), '.') || '.' AS pattern, count(*) AS cards, min(card_id) AS first_card
         FROM final WHERE severity = 'P1' GROUP BY 1""",
     ),
+    "warning_links": (
+        warned_clauses,
+        BYLAWS + """, u AS (SELECT *, clause_id || '-' || replace(kind, '_', '-') || '-' || ref_ord AS page FROM resolved WHERE status = 'unresolved')
+        SELECT clause_id AS card_id, string_agg(page, ',' ORDER BY page) AS warning_ids FROM u GROUP BY clause_id""",
+    ),
     "reference_register": (
         reference_register,
         BYLAWS + """, u AS (SELECT *, clause_id || '-' || replace(kind, '_', '-') || '-' || ref_ord AS page FROM resolved WHERE status = 'unresolved')

@@ -95,8 +95,41 @@ def test_compiled_corpus_is_valid_and_passes_gold(spark, project, compiled):
     register = jobs.build_register(spark, str(out)).collect()
     assert [(r.warning_id, r.affected_clause) for r in register] == [("act-7.2-higher-authority-than-1", "act-7.2")]
     pages = spark.createDataFrame(list(enumerate(PDF_PAGES, 1)), "page int, text string")
-    audit = jobs.audit_corpus(spark, str(out), pages, "club", str(project / "audit"))
+    assert jobs.write_register(spark, str(out), str(project / "register")) == {"metadata_only": True, "warning_count": 1}
+    table = spark.read.text(str(project / "register" / "warning-register.md")).collect()
+    assert [r.value.split(" | ")[1] for r in table] == ["act-7.2"]
+    warned = str(project / "register" / "warning-register.json")
+    audit = jobs.audit_corpus(spark, str(out), pages, "club", str(project / "audit"), warned)
     assert audit["reviewed"] == 15 and list((project / "audit").glob("*.csv"))
+    assert spark.read.json(str(project / "audit-summary")).first().reviewed == 15
+    assert (out / ".raw/validation-issues").is_dir()
+
+
+def test_extractions_are_reported(spark):
+    from lexweave.sources import ocr_json, pdf
+
+    files = spark.createDataFrame([("blank", b" \x0c "), ("good", b"a\x0cb"), ("bad", b"x!"), ("empty", b"")], "slug string, content binary")
+
+    def reader(content):
+        if b"!" in content:
+            raise ValueError("broken")
+        return content.decode().split("\f") if content else []
+
+    found = {r.slug: r.category for r in pdf.pdf_errors(pdf.pdf_pages(files, reader)).collect()}
+    assert found == {"blank": "partial_extraction", "bad": "pdf_corrupt_or_unsupported", "empty": "partial_extraction"}
+    assert pdf.read_pages(b"x", (reader_that_fails, lambda content: ["ok"])) == ["ok"]
+    with pytest.raises(ValueError, match="no; .*no"):
+        pdf.read_pages(b"x", (reader_that_fails, reader_that_fails))
+    slugs = spark.createDataFrame([("none",), ("odd",), ("two",), ("full",)], "slug string")
+    text = '{"result":{"chunks":[{"content":"words"}]}}'
+    answers = spark.createDataFrame([("odd", "{"), ("two", text), ("two", text), ("full", text), ("other", text)], "slug string, json string")
+    blocks, warned = ocr_json.extract_responses(slugs, answers)
+    assert {r.slug: r.w[0].category for r in warned.collect()} == {"none": "unknown_provider_error", "odd": "provider_validation", "two": "provider_validation"}
+    assert [r.slug for r in blocks.collect()] == ["full"]
+
+
+def reader_that_fails(content):
+    raise RuntimeError("no")
 
 
 @pytest.mark.parametrize(

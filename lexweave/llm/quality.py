@@ -116,6 +116,15 @@ def counts(text: Column) -> Column:
     return let(words(body), of_words)
 
 
+def counted(docs: DataFrame, *kept: Column) -> DataFrame:
+    """The kept columns and c, the counts of each text.
+
+    They come out of a generator of one row: a filter on c must not be pushed below it, where every use of a count would
+    count all words again.
+    """
+    return docs.select(*kept, F.explode(F.array(counts(F.col("text")))).alias("c"))
+
+
 def base_failed(of: str = "") -> Column:
     return F.expr(f"{of}n_words < 50 or 100 * {of}n_repeat_words > 50 * {of}n_words")
 
@@ -188,7 +197,7 @@ def score(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0
 
     Nulls count as empty texts, repeated rows stay, empty input gives an empty result.
     """
-    small = docs.select("doc_id", counts(F.col("text")).alias("c")).select("doc_id", "c.*")
+    small = counted(docs, F.col("doc_id")).select("doc_id", "c.*")
     small = materialize(small.select("*", *vote_columns(rules)), "quality")
     model = fit(small, len(rules))
     good = model.posterior()
@@ -200,7 +209,7 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float
 
     The counts are made twice, once for the vote patterns and once to apply the model: no text is shuffled or written.
     """
-    model = fit(docs.select(counts(F.col("text")).alias("c")).select("c.*").select(*vote_columns(rules)), len(rules))
-    inner = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), counts(F.col("text")).alias("c"))
+    model = fit(counted(docs).select("c.*").select(*vote_columns(rules)), len(rules))
+    inner = counted(docs, F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
     inner = inner.select("row", "c.*").select("row", *COUNTS, *vote_columns(rules))
     return inner.where(~base_failed() & (model.posterior() >= threshold)).select("row.*")

@@ -1,6 +1,6 @@
 """Session settings and the shared scratch folder used to cut long lineages."""
 
-import os
+
 import tempfile
 import uuid
 
@@ -24,16 +24,28 @@ def build_session(name: str = "lexweave", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+_marked: set[str] = set()
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one is made only where none is configured."""
+    """This application's folder in the cluster's shared checkpoint folder; it is removed when the application ends.
+
+    A temporary checkpoint folder is made only where none is configured, and only for local masters.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="lexweave-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
+        configured = tempfile.mkdtemp(prefix="lexweave-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    root = f"{configured.rstrip('/')}/lexweave-{spark.sparkContext.applicationId}"
+    if root not in _marked:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _marked.add(root)
+    return root
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

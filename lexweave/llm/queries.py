@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import embeddings, html_text, mixing, packing, quality, secrets, simhash, token_counts, token_files, warc
+from lexweave.llm import divergence, embeddings, html_text, mixing, packing, quality, secrets, simhash, token_counts, token_files, warc
 from lexweave.llm.common import documents
 
 
@@ -52,6 +52,10 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.main_text(documents(spark, folder, "pages"))
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(documents(spark, folder))
+
+
 MIXING_SQL = """
 WITH n AS (SELECT source, count(*) AS n_docs FROM documents GROUP BY source),
 t AS (SELECT sum(sqrt(n_docs)) AS all_weight, sum(n_docs) AS all_docs FROM n),
@@ -93,6 +97,28 @@ SELECT v.vec_id, coalesce(n.n_links, 0) AS n_links, coalesce(least(c.least, v.ve
 FROM v LEFT JOIN n ON v.row = n.a LEFT JOIN c ON v.row = c.root
 """
 
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT row, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n_lang FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL),
+v AS (SELECT lang, count(*) AS size, sum(n_lang) AS total FROM k GROUP BY lang),
+g AS (SELECT d.lang, d.source, coalesce(max(t.total), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) d
+      LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) t ON d.lang = t.lang AND d.source = t.source GROUP BY d.lang, d.source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + v.size)::HUGEINT AS p,
+             1 + (1000000000::HUGEINT * (k.n_lang + 1)) // (v.total + v.size)::HUGEINT AS q
+      FROM g JOIN v ON g.lang = v.lang JOIN k ON g.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM u)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
 #: name -> (query, SQL or None)
 QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
@@ -105,4 +131,5 @@ QUERIES = {
     "op8_warc": (op8_warc, WARC_SQL),
     "op9_token_files": (op9_token_files, None),
     "op10_html_extraction": (op10_html_extraction, None),
+    "op12_source_divergence": (op12_source_divergence, DIVERGENCE_SQL),
 }

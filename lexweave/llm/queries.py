@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import divergence, embeddings, html_text, mixing, packing, quality, secrets, simhash, token_counts, token_files, warc
+from lexweave.llm import divergence, embeddings, html_text, language, mixing, packing, prefix_trie, quality, secrets, simhash, token_counts, token_files, warc
 from lexweave.llm.common import documents
 
 
@@ -52,10 +52,18 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.main_text(documents(spark, folder, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(documents(spark, folder, "conversations"))
+
+
 def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.divergence(documents(spark, folder))
 
 
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(documents(spark, folder))
+
+
 MIXING_SQL = """
 WITH n AS (SELECT source, count(*) AS n_docs FROM documents GROUP BY source),
 t AS (SELECT sum(sqrt(n_docs)) AS all_weight, sum(n_docs) AS all_docs FROM n),
@@ -97,6 +105,33 @@ SELECT v.vec_id, coalesce(n.n_links, 0) AS n_links, coalesce(least(c.least, v.ve
 FROM v LEFT JOIN n ON v.row = n.a LEFT JOIN c ON v.row = c.root
 """
 
+TRIE_SQL = r"""
+WITH RECURSIVE o AS (
+    SELECT conv_id, sha256(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS d, turn,
+           CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_words FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(d, 1, 30)) AS pos FROM o),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS donor,
+             xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+                 lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda r, i: xor(r >> 1, 3988292384 * (r & 1))))) % 4 AS h
+      FROM t GROUP BY conv_id),
+r AS (SELECT c.conv_id, 0 AS part, t.pos, t.d, t.n_words FROM c JOIN t ON t.conv_id = c.donor AND t.pos <= c.h
+      UNION ALL SELECT c.conv_id, 1, t.pos, t.d, t.n_words FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),
+b AS (SELECT c.conv_id, coalesce(list(struct_pack(d := r.d, n := r.n_words) ORDER BY part, pos) FILTER (r.d IS NOT NULL), []) AS turns
+      FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY c.conv_id),
+p AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM b),
+n AS (SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(turns) = depth), '')) AS ends_sha256
+      FROM p GROUP BY ALL),
+k AS (SELECT n.*, q.conv_id AS parent_conv_id FROM n LEFT JOIN n q ON q.depth = n.depth - 1 AND q.path = n.path[1:n.depth - 1]),
+j AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+w AS (SELECT k.*, coalesce(j.n_children, 0) AS n_children, CASE WHEN k.depth = 0 THEN 0 ELSE (n_convs - 1) * k.path[k.depth].n END AS saved
+      FROM k LEFT JOIN j ON j.path = k.path),
+u AS (SELECT path, saved, n_children, unnest(range(0, depth + 1)) AS up FROM w),
+s AS (SELECT path[1:up] AS path, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM u GROUP BY ALL)
+SELECT w.conv_id, CAST(w.depth AS BIGINT) AS depth, w.parent_conv_id, w.n_convs, w.n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM w JOIN s ON s.path = w.path
+"""
+
 DIVERGENCE_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT row, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
@@ -131,5 +166,7 @@ QUERIES = {
     "op8_warc": (op8_warc, WARC_SQL),
     "op9_token_files": (op9_token_files, None),
     "op10_html_extraction": (op10_html_extraction, None),
+    "op11_prefix_trie": (op11_prefix_trie, TRIE_SQL),
     "op12_source_divergence": (op12_source_divergence, DIVERGENCE_SQL),
+    "op13_language_id": (op13_language_id, None),
 }

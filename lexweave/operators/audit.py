@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from lexweave.functions import patterns as P
 from lexweave.functions import text as X
+from lexweave.operators import asof
 from lexweave.operators.retrieval import short_runs
 from lexweave.session import materialize
 
 # Thresholds of the page confirmation and of the verdict.
 LONG_TEXT_WORDS, EDGE_WORDS = 14, 8
 TEXT_COVERAGE, LINE_COVERAGE, SHORT_LINE_WORDS = 0.82, 0.9, 5
-RECALL_FLOOR, SEGMENT_SLACK, ANCHOR_PAGES = 0.78, 8, 3
+RECALL_FLOOR, SEGMENT_SLACK, ANCHOR_PAGES, NEAR_LINES = 0.78, 8, 3, 6
 
 
 def clean_page_lines(text: Column) -> Column:
@@ -241,16 +242,19 @@ def found_pages(cards: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def segment_pages(pages: DataFrame) -> DataFrame:
-    """Per page with text: its lines, the six lines after it, its numbered lines, its headings and the next heading behind it.
+    """Per page with text: its lines, the six lines after it, its numbered lines and its headings.
 
-    Only a few facts per page go through the windows over the pages of a document; lines stay with their page.
+    A page learns the lines behind it from the first lines of the six pages that follow it in its document, whatever their
+    numbers; only those lines are moved.
     """
-    lines = pages.select("doc", "page", clean_page_lines(F.col("text")).alias("lines")).where(F.size("lines") > 0)
-    along = Window.partitionBy("doc").orderBy("page")
-    top = materialize(lines.select("doc", "page", F.slice("lines", 1, 6).alias("top")), "segment-tops")
+    lines = materialize(pages.select("doc", "page", clean_page_lines(F.col("text")).alias("lines")).where(F.size("lines") > 0), "segment-lines")
+    top = asof.places(lines.select("doc", "page", F.slice("lines", 1, NEAR_LINES).alias("top")), ["doc"], ["page"], "at")
+    top = materialize(top, "segment-tops")
+    spread = top.select("doc", F.explode(F.sequence(F.lit(1), F.lit(NEAR_LINES))).alias("k"), "at", "top").select("doc", (F.col("at") - F.col("k")).alias("at"), "k", "top")
+    ahead = F.slice(F.flatten(F.array_sort(F.collect_list(F.struct("k", "top"))).getField("top")), 1, NEAR_LINES)
+    ahead = top.select("doc", "page", "at").join(spread.where("at >= 0").groupBy("doc", "at").agg(ahead.alias("ahead")), ["doc", "at"], "left")
     none = F.array().cast("array<string>")
-    ahead = F.slice(F.concat(*[F.coalesce(F.lead("top", k).over(along), none) for k in range(1, 7)]), 1, 6)
-    held = lines.join(top.select("doc", "page", ahead.alias("ahead")), ["doc", "page"])
+    held = lines.join(ahead.select("doc", "page", F.coalesce("ahead", none).alias("ahead")), ["doc", "page"])
     after = lambda i: F.coalesce(F.get("lines", i + 1), F.get("ahead", i + 1 - F.size("lines")), F.lit(""))
     heading = lambda line, i: (
         line.rlike(r"(?U)^[A-Z]\.\s+[A-Z]")
@@ -260,56 +264,59 @@ def segment_pages(pages: DataFrame) -> DataFrame:
     )
     places = lambda found: F.filter(found, lambda i: i.isNotNull())
     numbered = F.transform("lines", lambda line, i: F.struct(X.present(F.regexp_extract(line, r"(?U)^(\d+)\.\s", 1)).try_cast("bigint").alias("number"), i.alias("i")))
-    marked = materialize(
-        held.withColumns(
-            {
-                "heads": places(F.transform("lines", lambda line, i: F.when(heading(line, i), i))),
-                "numbers": F.filter(numbered, lambda s: s["number"].isNotNull()),
-            }
-        ),
-        "segment-pages",
+    marked = held.withColumns(
+        {
+            "heads": places(F.transform("lines", lambda line, i: F.when(heading(line, i), i))),
+            "numbers": F.filter(numbered, lambda s: s["number"].isNotNull()),
+        }
     )
-    first = marked.where(F.size("heads") > 0).select("doc", "page", F.struct("page", F.get("heads", F.lit(0)).alias("i")).alias("head"))
-    below = along.rowsBetween(1, Window.unboundedFollowing)
-    beyond = marked.select("doc", "page").join(first, ["doc", "page"], "left").select("doc", "page", F.min("head").over(below).alias("next_head"), F.max("page").over(Window.partitionBy("doc")).alias("last_page"))
-    return materialize(marked.join(beyond, ["doc", "page"]), "segment-facts")
+    return materialize(marked, "segment-pages")
+
+
+def anchored(cards: DataFrame, openers: DataFrame) -> DataFrame:
+    """cards with `from_page`: their anchor, or the first page behind it with their number, if that is beyond ANCHOR_PAGES."""
+    ahead = cards.withColumn("place", F.struct((F.col("page_start") - 1).alias("page"), F.lit(2147483647).alias("i")))
+    found = asof.next_behind(ahead, openers.select("doc", "number", F.struct("page", "i").alias("place")), ["doc", "number"], "place", "opener")
+    far = F.col("opener.page") >= F.col("page_start") + ANCHOR_PAGES
+    return found.withColumn("from_page", F.when(far, F.col("opener.page")).otherwise(F.col("page_start"))).drop("place", "opener")
 
 
 def clause_segments(cards: DataFrame, pages: DataFrame) -> DataFrame:
     """Source segment of each numbered clause: doc, card_id, segment.
 
-    The start is the line with the clause's number, on the anchor page or one of the ANCHOR_PAGES - 1 after it, whose next
-    six lines share most words with the head of the card (the later one on a tie). The end is the next number or heading,
-    on whatever page it stands, or else the end of the document.
+    The start is the line with the clause's number, on the anchor page or one of the ANCHOR_PAGES - 1 after it, whose six
+    lines share most words with the head of the card (the later one on a tie). Where none of these pages has the number,
+    the first page behind them that has it takes the place of the anchor. The end is the next number or heading, on
+    whatever page it stands, or else the end of the document.
     """
-    facts = segment_pages(pages)
+    facts = segment_pages(pages.withColumn("page", F.col("page").cast("bigint")))
     number = F.regexp_extract("source_text", r"(?U)^\s*(\d+)\.\s+", 1)
     head = F.array_join(F.slice(F.split(X.collapse(F.col("source_text")), " "), 1, 18), " ")
+    near = F.array_join(F.slice(F.concat("lines", "ahead"), F.col("n.i") + 1, F.lit(NEAR_LINES)), " ")
+    openers = facts.select("doc", "page", "lines", "ahead", "heads", F.explode("numbers").alias("n"))
+    openers = openers.select("doc", "page", "heads", F.col("n.number").alias("number"), F.col("n.i").alias("i"), X.audit_words(X.audit_norm(near)).alias("near"))
+    openers = materialize(openers, "segment-openers")
     wanted = cards.where((F.col("unit_type") == "clause") & (number != "") & (F.col("page_start") > 0)).select(
-        "doc", "card_id", number.cast("bigint").alias("number"), X.audit_words(X.audit_norm(head)).alias("head"),
-        F.explode(F.sequence("page_start", F.col("page_start") + ANCHOR_PAGES - 1)).alias("page"),
+        "doc", "card_id", number.cast("bigint").alias("number"), F.col("page_start").cast("bigint").alias("page_start"), X.audit_words(X.audit_norm(head)).alias("head")
     )
-    near = F.array_join(F.slice(F.concat("lines", "ahead"), F.col("n.i") + 1, F.lit(6)), " ")
-    openers = facts.select("doc", "page", "lines", "ahead", "heads", "next_head", "last_page", F.explode("numbers").alias("n"))
-    openers = openers.select("doc", "page", "heads", "next_head", "last_page", F.col("n.number").alias("number"), F.col("n.i").alias("i"), X.audit_words(X.audit_norm(near)).alias("near"))
-    openers = materialize(openers, "segment-openers")
-    place = F.struct("page", "i")
+    wanted = anchored(wanted, openers).withColumn("page", F.explode(F.sequence("from_page", F.col("from_page") + ANCHOR_PAGES - 1)))
     starts = (
         wanted.join(openers, ["doc", "page", "number"])
         .withColumn("rank", F.struct(F.size(F.array_intersect("head", "near")).alias("overlap"), "page", "i"))
         .groupBy("doc", "card_id", "number")
-        .agg(F.max_by(F.struct("page", "i", F.filter("heads", lambda h: h > F.col("i")).alias("heads"), "next_head", "last_page"), F.col("rank")).alias("s"))
-        .select("doc", "card_id", (F.col("number") + 1).alias("number"), F.struct("s.page", "s.i").alias("place"), "s.heads", "s.next_head", "s.last_page")
+        .agg(F.max_by(F.struct("page", "i", F.filter("heads", lambda h: h > F.col("i")).alias("heads")), F.col("rank")).alias("s"))
+        .select("doc", "card_id", (F.col("number") + 1).alias("number"), F.struct("s.page", "s.i").alias("place"), F.get("s.heads", F.lit(0)).alias("head"))
     )
-    # The first line with the next number behind each start: both are put in one order, per document and number.
-    marks = openers.select("doc", "number", place.alias("place"), place.alias("opener"), F.lit(None).cast("string").alias("card_id"))
-    mixed = marks.unionByName(starts.select("doc", "number", "place", "card_id"), allowMissingColumns=True)
-    behind = Window.partitionBy("doc", "number").orderBy(F.col("place").desc(), F.col("card_id").isNull().desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbers = mixed.withColumn("next_number", F.last("opener", ignorenulls=True).over(behind)).where(F.col("card_id").isNotNull()).select("doc", "card_id", "next_number")
-    same_page = F.when(F.size("heads") > 0, F.struct(F.col("place.page").alias("page"), F.get("heads", F.lit(0)).alias("i")))
+    starts = materialize(starts, "segment-starts")
+    place = F.struct("page", "i").alias("place")
+    numbers = asof.next_behind(starts, openers.select("doc", "number", place), ["doc", "number"], "place", "next_number")
+    heads = facts.where(F.size("heads") > 0).select("doc", F.struct("page", F.get("heads", F.lit(0)).alias("i")).alias("place"))
+    ends = asof.next_behind(numbers, heads, ["doc"], "place", "next_head")
+    same_page = F.when(F.col("head").isNotNull(), F.struct(F.col("place.page").alias("page"), F.col("head").alias("i")))
     end = F.least(F.coalesce(same_page, F.col("next_head")), F.col("next_number"))
-    bounded = starts.join(numbers, ["doc", "card_id"]).select("doc", "card_id", "place", end.alias("end"), F.coalesce(end["page"], "last_page").alias("to_page"))
-    each = bounded.withColumn("page", F.explode(F.sequence("place.page", "to_page"))).join(facts.select("doc", "page", "lines"), ["doc", "page"])
+    last = facts.groupBy("doc").agg(F.max("page").alias("last_page"))
+    bounded = ends.select("doc", "card_id", "place", end.alias("end")).join(last, "doc")
+    each = bounded.withColumn("page", F.explode(F.sequence("place.page", F.coalesce("end.page", "last_page")))).join(facts.select("doc", "page", "lines"), ["doc", "page"])
     begin = F.when(F.col("page") == F.col("place.page"), F.col("place.i")).otherwise(F.lit(0))
     stop = F.when(F.col("page") == F.col("end.page"), F.col("end.i")).otherwise(F.size("lines"))
     kept = each.select("doc", "card_id", F.struct("page", F.slice("lines", begin + 1, stop - begin).alias("lines")).alias("p"))

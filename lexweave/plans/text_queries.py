@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexweave.functions import text as X
+from lexweave.operators import alignment as L
 from lexweave.operators import audit as A
 from lexweave.operators import retrieval as Q
 from lexweave.operators.lines import explode_lines
@@ -292,6 +293,36 @@ def clause_segments(spark: SparkSession, folder: str) -> DataFrame:
     return A.clause_segments(cards, items.select("doc", "page", "text"))
 
 
+def book_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments in one book that holds nine tenths of all pages; every clause starts five pages behind its anchor.
+
+    Each order opens with a heading and a number, which repeats every fifty orders, and has a page per item. Page numbers
+    have gaps.
+    """
+    items = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("item"))
+    first = items.groupBy("k").agg(F.min("item").alias("first"))
+    doc = F.when(F.col("k") % 10 > 0, F.lit("book")).otherwise(F.concat(F.lit("leaf-"), F.col("k") % 7))
+    number = F.col("k") % 50 + 1
+    opening = F.concat(F.lit("Section "), F.col("k"), F.lit(": order\n"), number, F.lit(". Order "), F.col("k"), F.lit(" opens;"))
+    more = F.concat(F.lit("item "), "item", F.lit(" of order "), F.col("k"), F.lit(" follows;"))
+    page = F.col("k") * 16 + F.col("item")
+    pages = items.join(first, "k").select(doc.alias("doc"), "k", page.alias("page"), F.when(F.col("item") == F.col("first"), opening).otherwise(more).alias("text"), (F.col("item") == F.col("first")).alias("opens"))
+    pages = materialize(pages.distinct(), "book-pages")
+    cards = pages.where("opens").select(
+        "doc", F.concat(F.lit("order-"), "k").alias("card_id"), F.lit("clause").alias("unit_type"),
+        F.concat(number, F.lit(". Order "), F.col("k"), F.lit(" opens;")).alias("source_text"), F.greatest(F.col("page") - 5, F.lit(1)).alias("page_start"),
+    )
+    return A.clause_segments(cards, pages.select("doc", "page", "text"))
+
+
+def page_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How much of each benchmark passage every document holds in order, where it is at least the floor."""
+    cards = table(spark, folder, "benchmark").select(F.lit("all").alias("doc"), F.col("item_id").cast("string").alias("card_id"), X.audit_words(X.audit_norm(F.col("text"))).alias("words"))
+    pages = table(spark, folder, "documents").select(F.lit("all").alias("doc"), F.col("doc_id").alias("page"), X.audit_words(X.audit_norm(F.col("text"))).alias("words"))
+    found = L.align(cards, pages)
+    return found.select(F.col("card_id").cast("bigint").alias("item_id"), F.col("page").alias("doc_id"), "matched", "words", F.round("share", 6).alias("share"))
+
+
 def confirmed_pages(spark: SparkSession, folder: str) -> DataFrame:
     cards = table(spark, folder, "benchmark").select(
         F.lit("all").alias("doc"), F.col("item_id").alias("card_id"), F.col("text").alias("source_text")
@@ -343,6 +374,24 @@ SELECT card_id, string_agg(page, ',' ORDER BY page) AS pages FROM (SELECT DISTIN
 """
 
 
+# The longest rising sequence by piles: a place goes on the first pile whose top is not below it. Places of a word are
+# taken from the last to the first. A pair whose words, counted with repetition, fall short cannot reach the floor.
+ALIGNED = f"""
+WITH c AS (SELECT item_id, regexp_extract_all({sql_norm('text')}, '[a-z0-9]+') AS words FROM benchmark),
+p AS (SELECT doc_id, regexp_extract_all({sql_norm('text')}, '[a-z0-9]+') AS words FROM documents),
+cw AS (SELECT item_id, len(words) AS words, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM c),
+pw AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS j FROM p),
+cn AS (SELECT item_id, word, max(words) AS words, count(*) AS n FROM cw GROUP BY item_id, word),
+pn AS (SELECT doc_id, word, count(*) AS n FROM pw WHERE word IN (SELECT word FROM cw) GROUP BY doc_id, word),
+near AS (SELECT item_id, doc_id FROM cn JOIN pn ON cn.word = pn.word GROUP BY item_id, doc_id HAVING sum(least(cn.n, pn.n)) >= 0.82 * max(cn.words) - 1e-9),
+m AS (SELECT near.item_id, near.doc_id, max(cw.words) AS words, list([j] ORDER BY i, j DESC) AS steps
+      FROM near JOIN cw ON near.item_id = cw.item_id JOIN pw ON near.doc_id = pw.doc_id AND cw.word = pw.word GROUP BY ALL),
+t AS (SELECT item_id, doc_id, words, CAST(len(list_reduce(list_prepend(CAST([] AS BIGINT[]), steps),
+        lambda tops, s: list_concat(list_concat(list_filter(tops, lambda x: x < s[1]), s), tops[len(list_filter(tops, lambda x: x < s[1])) + 2:]))) AS BIGINT) AS matched FROM m)
+SELECT item_id, doc_id, matched, CAST(words AS BIGINT) AS words, round(matched / words, 6) AS share FROM t WHERE matched >= 0.82 * words - 1e-9
+"""
+
+
 def section_letter_gaps(spark: SparkSession, folder: str) -> DataFrame:
     letters = C.bylaw_units(spark, folder).where((F.col("unit_type") == "section") & F.col("number").rlike("^[A-Z]$"))
     present = letters.groupBy("parent_clause_id").agg(F.sort_array(F.collect_set(F.lower("number"))).alias("letters"))
@@ -496,6 +545,14 @@ QUERIES = {
         SELECT 'cust-' || c AS doc, 'order-' || k AS card_id, string_agg(CASE WHEN i = 1 THEN n || '. Order ' || k || ' opens;'
           ELSE 'item ' || item || ' of order ' || k || ' follows;' END, ' ' ORDER BY i) AS segment FROM l GROUP BY c, k""",
     ),
+    "book_segments": (
+        book_segments,
+        """WITH l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS item FROM lineitem),
+        r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY item) AS i FROM l)
+        SELECT CASE WHEN k % 10 > 0 THEN 'book' ELSE 'leaf-' || (k % 7) END AS doc, 'order-' || k AS card_id,
+          string_agg(CASE WHEN i = 1 THEN (k % 50 + 1) || '. Order ' || k || ' opens;' ELSE 'item ' || item || ' of order ' || k || ' follows;' END, ' ' ORDER BY i) AS segment
+        FROM r GROUP BY k""",
+    ),
     "extraction_headers": (
         extraction_headers,
         """WITH t AS (SELECT *, conv_id % 6 AS k, CASE WHEN turn % 7 = 3 THEN '  ' ELSE text END AS shown, length(text) AS n FROM conversations),
@@ -595,6 +652,7 @@ QUERIES |= {
         FROM d a JOIN d b ON b.doc_id = a.doc_id + 1 LEFT JOIN m ON m.doc_id = a.doc_id""",
     ),
     "confirmed_pages": (confirmed_pages, CONFIRMED),
+    "page_alignment": (page_alignment, ALIGNED),
     "section_letter_gaps": (
         section_letter_gaps,
         BYLAWS + """, present AS (SELECT section_id AS parent_clause_id, list_sort(list(DISTINCT lower(l_returnflag))) AS l FROM letters GROUP BY 1)

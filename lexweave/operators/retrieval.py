@@ -4,9 +4,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexweave.functions import text as X
+from lexweave.session import materialize
 from lexweave.sources.pages import aliases, listing, scalar
 
 GRAM = 3
+#: Pages for each place of a ranking from which its floor is taken.
+SEEDS = 16
 
 
 def page_search(pages: DataFrame) -> DataFrame:
@@ -38,46 +41,105 @@ def short_runs(chars: str, n: int) -> Column:
     )
 
 
-def phrase_pairs(pages: DataFrame, questions: DataFrame, overlaps: DataFrame) -> DataFrame:
-    """Pairs (question_id, path) where the question occurs in the page text.
+def inner_words_needed(question: Column) -> Column:
+    """Distinct words that every text holding the question shares with it, at least."""
+    bare = F.regexp_replace(F.regexp_replace(question, r"^[A-Za-z0-9]+", ""), r"[A-Za-z0-9]+$", "")
+    return F.size(F.array_distinct(X.words(bare)))
 
-    A question with an inner word can only occur in pages that share a word with it, so the word overlaps are its
-    candidates. Very short questions may sit inside a longer word and are found by their first three characters.
+
+def long_phrases(pages: DataFrame, questions: DataFrame, overlaps: DataFrame) -> DataFrame:
+    """Pairs (question_id, path) where a question with an inner word occurs in the page text.
+
+    Such a page shares all inner words of the question, so pairs that share fewer words never meet the page texts.
     """
     text = questions.select("question_id", F.lower("question").alias("question"))
-    hay = pages.select("path", F.lower("haystack").alias("hay"))
-    # All inner words are in such a page, so pairs that share fewer words never meet the page texts.
-    bare = F.regexp_replace(F.regexp_replace("question", r"^[A-Za-z0-9]+", ""), r"[A-Za-z0-9]+$", "")
-    inner = text.where(has_inner_word(F.col("question"))).withColumn("needed", F.size(F.array_distinct(X.words(bare))))
+    inner = text.where(has_inner_word(F.col("question"))).withColumn("needed", inner_words_needed(F.col("question")))
     likely = overlaps.join(inner, "question_id").where(F.col("overlap") >= F.col("needed"))
-    near = likely.join(hay, "path").where(F.contains("hay", "question"))
-    pairs = near.select("question_id", "path")
+    hay = pages.select("path", F.lower("haystack").alias("hay"))
+    return likely.join(hay, "path").where(F.contains("hay", "question")).select("question_id", "path")
+
+
+def short_phrases(pages: DataFrame, questions: DataFrame) -> DataFrame:
+    """The same for questions without an inner word: they may sit inside longer words and are found by three characters."""
+    text = questions.select("question_id", F.lower("question").alias("question"))
     short = text.where(~has_inner_word(F.col("question")) & (F.col("question") != ""))
+    hay = pages.select("path", F.lower("haystack").alias("hay"))
     if short.isEmpty():
-        return pairs
+        return short.select("question_id", F.lit(None).cast("string").alias("path")).where(F.lit(False))
     keyed = short.withColumn("gram", leading_gram(F.col("question")))
-    spread = hay.select("path", "hay", F.split("hay", "").alias("_chars"))
+    spread = hay.select("path", F.split("hay", "").alias("_chars"))
     runs = F.concat(*[short_runs("_chars", n) for n in range(1, GRAM + 1)])
     exploded = spread.select("path", F.explode(F.array_distinct(runs)).alias("gram"))
     found = exploded.join(keyed, "gram").join(hay, "path").where(F.contains("hay", "question"))
-    return pairs.unionByName(found.select("question_id", "path").distinct())
+    return found.select("question_id", "path").distinct()
 
 
-def word_overlaps(pages: DataFrame, questions: DataFrame) -> DataFrame:
-    """Distinct shared words per (question_id, path). Pages keep only words that some question asks for; their words
-    come out row by row, so counting starts before anything is shuffled."""
-    asked = questions.select("question_id", F.explode(F.array_distinct(X.words(F.col("question")))).alias("word"))
-    held = pages.select("path", F.explode(F.array_distinct(X.words(F.col("haystack")))).alias("word"))
-    return held.join(asked, "word").groupBy("question_id", "path").agg(F.count("*").alias("overlap"))
+def by_rarity(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """question_id, word, pages (that hold it), ord (1 is the rarest) and n (words of the question that any page holds)."""
+    known = asked.join(held.groupBy("word").agg(F.count("*").alias("pages")), "word")
+    question = Window.partitionBy("question_id")
+    return known.withColumns({"ord": F.row_number().over(question.orderBy("pages", "word")), "n": F.count("*").over(question)})
+
+
+def overlaps_of(pairs: DataFrame, asked: DataFrame, held: DataFrame) -> DataFrame:
+    """Words shared by each pair (question_id, path)."""
+    words = pairs.join(asked.select("question_id", "word"), "question_id").join(held, ["word", "path"])
+    return words.groupBy("question_id", "path").agg(F.count("*").alias("overlap"))
+
+
+def score_floors(asked: DataFrame, held: DataFrame, questions: DataFrame, top_k: int) -> DataFrame:
+    """question_id, needed (see inner_words_needed) and floor: pages with fewer shared words are not among its best, whatever else they hold.
+
+    The pages that hold most of a question's rarest words, top_k of them, are scored in full; the least of these scores
+    is a bound. Where the question as a whole may add to a score, the bound is not above the words that takes.
+    """
+    before = F.sum("pages").over(Window.partitionBy("question_id").orderBy("ord")) - F.col("pages")
+    rare = asked.withColumn("before", before).where((F.col("before") < SEEDS * top_k) & (F.col("pages") <= SEEDS * SEEDS * top_k))
+    met = rare.join(held, "word").groupBy("question_id", "path").agg(F.count("*").alias("met"))
+    best = Window.partitionBy("question_id").orderBy(F.desc("met"), "path")
+    near = met.withColumn("k", F.row_number().over(best)).where(F.col("k") <= top_k).select("question_id", "path")
+    bound = overlaps_of(near, asked, held).groupBy("question_id").agg(F.when(F.count("*") >= top_k, F.min("overlap")).alias("bound"))
+    text = F.lower("question")
+    needed = F.when(has_inner_word(text), inner_words_needed(text))
+    known = questions.select("question_id", needed.alias("needed")).join(bound, "question_id", "left")
+    return known.select("question_id", "needed", F.greatest(F.least(F.coalesce("bound", F.lit(1)), "needed"), F.lit(1)).alias("floor"))
+
+
+def contenders(asked: DataFrame, held: DataFrame, floors: DataFrame, top_k: int) -> DataFrame:
+    """Pairs (question_id, path) that can be among the top_k of a question.
+
+    The most frequent words of a question, half as many as its floor and at least one, are not looked up: a page that
+    reaches the floor holds the rest of the floor among the others. Where the floor is one word, a page that holds only
+    the most frequent word can count if it is among the first top_k of that word by path. So a word that is on all pages
+    and in all questions brings top_k rows. Nothing is left out where a single word may carry the whole question.
+    """
+    left_out = F.when(F.coalesce("needed", F.lit(0)) == 1, F.lit(0)).otherwise(F.greatest(F.floor(F.col("floor") / 2), F.lit(1)))
+    plan = asked.join(floors, "question_id").withColumn("last", F.col("n") - left_out)
+    enough = F.greatest(F.col("floor") - left_out, F.lit(1))
+    kept = plan.where("ord <= last").select("question_id", "word", enough.alias("enough"))
+    found = kept.join(held, "word").groupBy("question_id", "path", "enough").agg(F.count("*").alias("met")).where("met >= enough")
+    common = plan.where("floor = 1 and ord > last").select("question_id", "word")
+    first = Window.partitionBy("word").orderBy("path")
+    firsts = held.join(common.select("word").distinct(), "word", "left_semi").withColumn("k", F.row_number().over(first)).where(F.col("k") <= top_k)
+    listed = common.join(firsts, "word").select("question_id", "path")
+    return found.select("question_id", "path").unionAll(listed).distinct()
 
 
 def rank_pages(pages: DataFrame, questions: DataFrame, top_k: int = 5) -> DataFrame:
     """Best pages per question: shared words, plus two when the whole question occurs; ties by path.
 
-    pages: path, haystack. questions: question_id, question.
+    pages: path, haystack. questions: question_id, question. Pages are scored in full only if they can be among the
+    best; see contenders. The words of a page are read once.
     """
-    overlaps = word_overlaps(pages, questions)
-    phrases = phrase_pairs(pages, questions, overlaps)
+    asked = questions.select("question_id", F.explode(F.array_distinct(X.words(F.col("question")))).alias("word"))
+    held = pages.select("path", F.explode(F.array_distinct(X.words(F.col("haystack")))).alias("word"))
+    held = materialize(held.join(asked.select("word").distinct(), "word", "left_semi"), "asked-words")
+    asked = materialize(by_rarity(asked, held), "asked")
+    floors = materialize(score_floors(asked, held, questions, top_k), "floors")
+    short = materialize(short_phrases(pages, questions), "short-phrases")
+    pairs = contenders(asked, held, floors, top_k).unionAll(short).distinct()
+    overlaps = materialize(overlaps_of(pairs, asked, held), "contenders")
+    phrases = long_phrases(pages, questions, overlaps).unionAll(short)
     scored = (
         overlaps.unionByName(phrases.withColumn("overlap", F.lit(2).cast("bigint")))
         .groupBy("question_id", "path")

@@ -18,7 +18,7 @@ def _root_page(df: DataFrame, name: str, title: str, kind: str, links: list[str]
     }
     none = F.lit(None).cast("string")
     return df.select(
-        F.lit(name).alias("path"), page(fields, [F.concat(F.lit("# "), F.lit(title)), "", *body]).alias("content"),
+        F.lit(name).alias("path"), page(df, fields, [F.concat(F.lit("# "), F.lit(title)), "", *body]).alias("content"),
         F.lit("generated_file").alias("file_type"), none.alias("slug"), none.alias("clause_id"),
     )
 

@@ -75,6 +75,39 @@ def least_reachable(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """The same as least_reachable, for links of which a component has many: node and root.
+
+    Each round points every node at its smallest neighbour, follows the pointers to their ends, and then moves the links
+    to these ends, where loops and repeated links fall away. Later rounds and their joins see only what is left, so all
+    rounds together join about two rows for each different link of the first.
+    """
+    a, b = F.col("a"), F.col("b")
+    rest = materialize(edges.where("a <> b").select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), "links")
+    steps = []
+    while True:
+        both = rest.unionAll(rest.select(b.alias("a"), a.alias("b")))
+        roots = materialize(both.groupBy(a.alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("root")), "roots")
+        while True:
+            # only pointers at nodes that point on have to be followed
+            onward = roots.where("node <> root").select(F.col("node").alias("root"), F.col("root").alias("beyond"))
+            moved = materialize(roots.join(onward, "root", "left").select("node", F.coalesce("beyond", "root").alias("root"), F.col("beyond").isNotNull().alias("moved")), "roots")
+            roots = moved.select("node", "root")
+            if moved.where("moved").isEmpty():
+                break
+        steps.append(roots)
+        at_a, at_b = roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+        ends = rest.join(at_a, "a").join(at_b, "b").where("ra <> rb")
+        rest = materialize(ends.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "links")
+        if rest.isEmpty():
+            break
+    found = steps.pop()
+    while steps:
+        beyond = found.where("node <> root").select(F.col("node").alias("root"), F.col("root").alias("beyond"))
+        found = materialize(steps.pop().join(beyond, "root", "left").select("node", F.coalesce("beyond", "root").alias("root")), "roots")
+    return found
+
+
 class WordTokens(dict):
     """Token ids, as little-endian unsigned 32-bit bytes, of pieces of text whose tokens do not depend on their surroundings.
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.llm.common import least_reachable, materialize, small_batches, spare
+from lexweave.llm.common import contracted, least_reachable, materialize, small_batches, spare
 
 SEED = 42
 #: Rows of a bucket from which it is divided again on the bits that are left.
@@ -223,6 +223,24 @@ def near_links(prints: DataFrame, distance: int = 3, large: int = LARGE_BUCKET)
     return links
 
 
+def joined_tables(codes: DataFrame, distance: int) -> DataFrame:
+    """Components (node, root) over several tables of fingerprints. codes: node, fp and bucket (the number of the table).
+
+    Nodes that share a whole fingerprint in some table are united first, each with the smallest node of that fingerprint.
+    The index then takes every fingerprint of a table once, for the component that has it, so that a group of near copies
+    does not meet again, table by table and block by block, as all its members.
+    """
+    codes = materialize(codes, "table-codes")
+    shared = codes.groupBy("bucket", "fp").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    equal = contracted(codes.select("bucket", "fp", F.col("node").alias("a")).join(shared, ["bucket", "fp"]).select("a", "b"))
+    first = codes.join(equal, "node", "left").select(F.coalesce("root", "node").alias("node"), "fp", "bucket").distinct()
+    near = contracted(near_links(first, distance))
+    beyond = near.select(F.col("node").alias("root"), F.col("root").alias("beyond"))
+    united = equal.join(beyond, "root", "left").select("node", F.coalesce("beyond", "root").alias("root"))
+    # nodes that share no fingerprint but have near ones
+    return united.unionAll(near.join(equal, "node", "left_anti").select("node", "root"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 3, seed: int = SEED, tables: int = 1) -> DataFrame:
     """One row per document: doc_id, text_hash, fp, component_id (the smallest doc_id reachable).
 
@@ -233,10 +251,11 @@ def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 3, seed: int
     rows = materialize(fingerprints(docs, size, seed, tables), "fingerprints")
     prints = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     codes = prints.select(F.col("fp").alias("node"), "fp", F.lit(0).cast("long").alias("bucket"))
-    if tables > 1:
+    if tables == 1:
+        roots = least_reachable(materialize(near_links(codes, distance), "links"))
+    else:
         others = rows.select(F.col("fp").alias("node"), F.posexplode("more").alias("table", "code")).distinct()
-        codes = codes.unionAll(others.select("node", F.col("code").alias("fp"), (F.col("table") + 1).cast("long")))
-    roots = least_reachable(materialize(near_links(codes, distance), "links"))
+        roots = joined_tables(codes.unionAll(others.select("node", F.col("code").alias("fp"), (F.col("table") + 1).cast("long"))), distance)
     nodes = prints.join(roots, prints.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     nodes = materialize(nodes, "nodes")
     names = materialize(nodes.groupBy("root").agg(F.min("least").alias("component_id")), "components")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexweave.llm import simhash
-from lexweave.llm.common import least_reachable
+from lexweave.llm.common import contracted, least_reachable
 from tests.llm.helpers import components, docs, fingerprint, odd_texts, prose
 
 
@@ -93,3 +93,38 @@ def test_tables_find_more_near_copies(spark):
     assert first[0] == fingerprint(texts[0]) and len(set(first)) == 5
     apart = [[(a ^ b).bit_count() for a, b in zip(first, simhash.simhashes(t, tables=5))] for t in texts[13:]]
     assert all(20 < np.mean(d) < 44 for d in apart)
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_contracted_components(spark, seed):
+    draw = random.Random(seed)
+    nodes = draw.sample(range(10**6), 120)
+    edges = [draw.sample(nodes, 2) for _ in range(70)] + [(nodes[0], n) for n in nodes[1:20]] + [(nodes[3], nodes[3])]
+    edges += [(1000 + k, 1001 + k) for k in range(300)] + [(9000 - k, 8999 - k) for k in range(0, 200, 2)] + edges[:5]
+    found = {r["node"]: r["root"] for r in contracted(spark.createDataFrame(edges, "a long, b long")).collect()}
+    linked = {frozenset(e) for e in edges}
+    known = sorted({n for a, b in edges if a != b for n in (a, b)})
+    label = {n: n for n in known}
+    while True:
+        before = dict(label)
+        for a, b in (tuple(e) for e in linked if len(e) == 2):
+            label[a] = label[b] = min(label[a], label[b])
+        if before == label:
+            break
+    assert found == label
+
+
+def test_contracted_without_links(spark):
+    assert contracted(spark.createDataFrame([(1, 1)], "a long, b long")).collect() == []
+
+
+def test_tables_unite_nodes_that_share_or_nearly_share_a_fingerprint(spark):
+    draw = random.Random(8)
+    base = [draw.getrandbits(63) for _ in range(30)]
+    codes = {}
+    for node in range(90):
+        codes[node] = [base[(node + 7 * t) % 30] ^ (draw.random() < 0.3) << draw.randrange(60) if draw.random() < 0.4 else draw.getrandbits(63) for t in range(3)]
+    rows = [(node, code, t) for node, made in codes.items() for t, code in enumerate(made)]
+    found = {r["node"]: r["root"] for r in simhash.joined_tables(spark.createDataFrame(rows, "node long, fp long, bucket long"), 2).collect()}
+    want = components(list(codes), lambda a, b: any((x ^ y).bit_count() <= 2 for x, y in zip(codes[a], codes[b])))
+    assert {n: found.get(n, n) for n in codes} == want

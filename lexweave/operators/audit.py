@@ -17,6 +17,7 @@ from lexweave.session import materialize
 LONG_TEXT_WORDS, EDGE_WORDS = 14, 8
 TEXT_COVERAGE, LINE_COVERAGE, SHORT_LINE_WORDS = 0.82, 0.9, 5
 RECALL_FLOOR, SEGMENT_SLACK, ANCHOR_PAGES, NEAR_LINES = 0.78, 8, 3, 6
+REPEATABLE_WORDS = 8
 
 
 def clean_page_lines(text: Column) -> Column:
@@ -378,18 +379,44 @@ def duplicate_texts(cards: DataFrame) -> DataFrame:
     return hashed.join(groups, "text_hash")
 
 
-def quoted(doc: str) -> str:
-    """A slug as a pattern that matches itself only."""
-    return f"\\Q{doc}\\E"
+# What identifiers look like behind the slug of their document.
+NUMBERED, LETTERED, COLLIDED = r"^part-ii-section-(\d+)$", r"^part-i-section-([a-z])$", r"^part-i-section-([a-z])-clause-\d+-p\d+$"
 
 
-def set_facts(cards: DataFrame, doc: str) -> DataFrame:
-    """Facts about a whole card set: numbered sections of Part II, letters of Part I and the gaps between them."""
-    section = F.regexp_extract("card_id", f"^{quoted(doc)}-part-ii-section-(\\d+)$", 1)
-    letter = F.regexp_extract("card_id", f"^{quoted(doc)}-part-i-section-([a-z])$", 1)
-    facts = cards.agg(
-        F.sort_array(F.collect_set(F.nullif(section, F.lit("")).cast("int"))).alias("numbered_sections"),
-        F.sort_array(F.collect_set(F.nullif(letter, F.lit("")))).alias("letters"),
+def tail(card_id: Column, doc: Column) -> Column:
+    """The part of an identifier behind the slug of its document; null for one of another document."""
+    return F.when(F.startswith(card_id, F.concat(doc, F.lit("-"))), F.substr(card_id, F.length(doc) + 2))
+
+
+def bit_of(letter: Column) -> Column:
+    """a is the lowest of 26 bits; null for an empty string."""
+    return F.when(letter != "", F.call_function("shiftleft", F.lit(1), F.ascii(letter) - 97))
+
+
+def letters_of(bits: Column) -> Column:
+    """Letters of a bitmap, in order."""
+    return F.transform(F.filter(F.sequence(F.lit(0), F.lit(25)), lambda i: F.call_function("getbit", bits, i) == 1), lambda i: F.chr(i + 97))
+
+
+def set_facts(cards: DataFrame) -> DataFrame:
+    """One row per document: numbered sections of Part II (their number), letters of Part I, those missing between them, and
+    letters of Part I sections that own clauses with a page suffix, by a clause's identifier or by their children.
+
+    Letters are bits and numbers are bitmaps, so that partial results are small and combine before the shuffle, however
+    many cards a document has.
+    """
+    own, child = tail(F.col("card_id"), F.col("doc")), lambda c: tail(c, F.col("doc"))
+    letter = F.regexp_extract(own, LETTERED, 1)
+    host = F.coalesce(X.present(F.regexp_extract(own, COLLIDED, 1)), F.when(F.exists("child_ids", lambda c: F.coalesce(child(c).rlike(COLLIDED), F.lit(False))), letter))
+    number = F.regexp_extract(own, NUMBERED, 1).try_cast("bigint")
+    rows = cards.select("doc", number.alias("number"), bit_of(letter).alias("letter"), bit_of(host).alias("host"))
+    parts = rows.groupBy("doc", F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("number"))).alias("numbers"), F.bit_or("letter").alias("letters"), F.bit_or("host").alias("hosts")
+    )
+    zero = F.lit(0)
+    facts = parts.groupBy("doc").agg(
+        F.sum(F.when(F.col("bucket").isNotNull(), F.col("numbers")).otherwise(zero)).alias("numbered_sections"),
+        letters_of(F.coalesce(F.bit_or("letters"), zero)).alias("letters"), letters_of(F.coalesce(F.bit_or("hosts"), zero)).alias("hosts"),
     )
     return facts.withColumn("missing_letters", missing_letters(F.col("letters")))
 
@@ -400,14 +427,10 @@ def missing_letters(letters: Column) -> Column:
     return F.when(F.size(letters) > 0, F.array_except(span, letters)).otherwise(F.array().cast("array<string>"))
 
 
-def collision_hosts(cards: DataFrame, doc: str) -> DataFrame:
-    """Part I sections that own clauses with a page suffix, by the clause's identifier or by the section's children."""
-    clause = f"^({quoted(doc)}-part-i-section-[a-z])-clause-\\d+-p\\d+$"
-    owned = cards.select(F.regexp_extract("card_id", clause, 1).alias("card_id")).where("card_id <> ''")
-    listed = cards.where(
-        F.col("card_id").rlike(f"^{quoted(doc)}-part-i-section-[a-z]$") & F.exists("child_ids", lambda c: c.rlike(clause))
-    ).select("card_id")
-    return owned.union(listed).distinct()
+def collision_hosts(cards: DataFrame) -> DataFrame:
+    """doc and card_id of the Part I sections that own clauses with a page suffix."""
+    hosts = set_facts(cards).select("doc", F.explode("hosts").alias("letter"))
+    return hosts.select("doc", F.concat("doc", F.lit("-part-i-section-"), "letter").alias("card_id"))
 
 
 def marker_count(text: Column, before: str) -> Column:
@@ -441,15 +464,12 @@ def anchor_issue() -> Column:
 # Findings and the fix asked for, by rule.
 FINDINGS = {
     "anchor": (None, "Re-anchor to the PDF page containing the source text and re-run source-text verification."),
-    "misfiled": (
-        "Part I Section I clause is misidentified as Section H / Council Seal; title, slug, parent, and hierarchy are wrong.",
-        "Create/use Part I Section I 'By LAWS' parent and move this clause under it with the correct clause ID/title.",
-    ),
+    "misfiled": (None, None),
     "gap": (None, "Add the missing Part I section card and correct the affected child metadata."),
     "omission": (None, "Regenerate this clause from the full PDF clause segment, preserving nested list items and page-spanning text."),
     "flat_section": (
         "Part II numeric section hierarchy is flattened; card is parented directly under Part II or a page-suffixed letter section instead of Section N.",
-        "Add numbered Section 1-22 parent cards and reparent/rename this card under its true Section N heading.",
+        "Add numbered Section parent cards and reparent/rename this card under its true Section N heading.",
     ),
     "flat_list": (
         "Nested source list structure is flattened into paragraph text, which loses legal hierarchy even where words are present.",
@@ -475,13 +495,16 @@ COLLISION_GAP = (
 def ladder(scored: DataFrame) -> DataFrame:
     """Verdict, severity, findings and confidence of each card.
 
-    scored: unit_type, anchor_issue, misfiled, gap_issue, segment, segment_tokens, card_tokens, recall, flat_section,
-    source_text, warning_ids, duplicate_ids and pages. Blocking findings win over structural ones, those over minor.
+    scored: unit_type, anchor_issue, misfiled (letter of the section that wrongly carries the card, or null), gap_issue,
+    segment, segment_tokens, card_tokens, recall, flat_section, source_text, warning_ids, duplicate_ids and pages. Blocking
+    findings win over structural ones, those over minor.
     """
+    host, following = F.upper("misfiled"), F.upper(F.chr(F.ascii("misfiled") + 1))
+    misfiled = F.col("misfiled").isNotNull()
     has_segment = F.coalesce(F.col("segment"), F.lit("")) != ""
     omission = has_segment & (F.col("recall") < RECALL_FLOOR) & (F.col("segment_tokens") > F.col("card_tokens") + SEGMENT_SLACK)
     anchor = F.col("anchor_issue").isNotNull()
-    early_block = anchor | F.col("misfiled")
+    early_block = anchor | misfiled
     blocked = early_block | omission
     gap = F.col("gap_issue").isNotNull() & ~early_block
     flat_section = F.col("flat_section") & ~blocked
@@ -494,11 +517,17 @@ def ladder(scored: DataFrame) -> DataFrame:
     warned = F.size("warning_ids") > 0
     structural = gap | flat_section | flat_list
     copies = F.array_distinct("duplicate_ids")
-    duplicate = (F.size(copies) > 1) & (F.col("unit_type") == "clause") & (F.col("card_tokens") > 8) & ~blocked
+    duplicate = (F.size(copies) > 1) & (F.col("unit_type") == "clause") & (F.col("card_tokens") > REPEATABLE_WORDS) & ~blocked
     share = F.concat(F.format_string("%.0f", F.bround(F.col("recall") * 100, 0)), F.lit("%"))
     said = {
         "anchor": (anchor, F.col("anchor_issue")),
-        "misfiled": (F.col("misfiled"), None),
+        "misfiled": (
+            misfiled,
+            F.concat(
+                F.lit("Part I Section "), following, F.lit(" clause is misidentified as Section "), host,
+                F.lit("; title, slug, parent, and hierarchy are wrong."),
+            ),
+        ),
         "gap": (gap, F.col("gap_issue")),
         "omission": (
             omission,
@@ -517,11 +546,16 @@ def ladder(scored: DataFrame) -> DataFrame:
             ),
         ),
     }
+    fixes = {
+        "misfiled": F.concat(
+            F.lit("Create/use the Part I Section "), following, F.lit(" parent and move this clause under it with the correct clause ID/title.")
+        )
+    }
     pick = lambda side: F.array_distinct(
         F.array_compact(
             F.array(
                 *[
-                    F.when(when, F.lit(FINDINGS[rule][side]) if side == 1 or own is None else own)
+                    F.when(when, fixes.get(rule, F.lit(FINDINGS[rule][side])) if side == 1 else F.lit(FINDINGS[rule][side]) if own is None else own)
                     for rule, (when, own) in said.items()
                 ]
             )
@@ -553,8 +587,11 @@ def ladder(scored: DataFrame) -> DataFrame:
     )
 
 
-def audit(cards: DataFrame, pages: DataFrame, doc: str) -> DataFrame:
-    """Audit rows of the card set of one document family (identifiers start with doc)."""
+def audit(cards: DataFrame, pages: DataFrame) -> DataFrame:
+    """Audit rows of cards of any number of documents; identifiers start with the slug of their document (doc).
+
+    Facts about a document are one small row, joined once.
+    """
     cards = materialize(cards, "audit-input")
     found = found_pages(cards, pages)
     segments = clause_segments(cards, pages)
@@ -563,45 +600,41 @@ def audit(cards: DataFrame, pages: DataFrame, doc: str) -> DataFrame:
         text.join(segments, ["doc", "card_id"], "left"), ["doc", "card_id"],
         F.coalesce("segment", F.lit("")), F.col("source_text"),
     )
-    copies = duplicate_texts(cards)
+    # short texts may repeat, so that only longer ones are compared
+    long_texts = cards.where(F.size(X.audit_words(X.audit_norm(F.col("source_text")))) > REPEATABLE_WORDS)
+    copies = duplicate_texts(long_texts)
     members = copies.groupBy("text_hash").agg(F.sort_array(F.collect_list("card_id")).alias("duplicate_ids"))
     shared = copies.select("card_id", "text_hash").join(members, "text_hash").drop("text_hash")
-    # Facts about the whole set matter to the two part cards only, so they are joined by identifier.
-    facts = set_facts(cards, doc).select(
-        F.explode(F.array(F.lit(f"{doc}-part-i"), F.lit(f"{doc}-part-ii"))).alias("card_id"), "numbered_sections", "missing_letters"
-    )
-    hosts = collision_hosts(cards, doc).withColumn("_host", F.lit(True))
-    numbered = f"^{quoted(doc)}-part-ii-section-\\d+$"
-    cid = F.col("card_id")
+    own = tail(F.col("card_id"), F.col("doc"))
+    numbered = lambda c: F.coalesce(tail(c, F.col("doc")).rlike(NUMBERED), F.lit(False))
     flat = (
-        F.when(~cid.startswith(f"{doc}-part-ii"), F.lit(False))
-        .when(cid == f"{doc}-part-ii", F.size("numbered_sections") == 0)
-        .otherwise(~cid.rlike(numbered) & ~F.exists("parent_chain", lambda p: p.rlike(numbered)))
+        F.when(~F.coalesce(own.startswith("part-ii"), F.lit(False)), F.lit(False))
+        .when(own == "part-ii", F.coalesce("numbered_sections", F.lit(0)) == 0)
+        .otherwise(~numbered(F.col("card_id")) & ~F.exists("parent_chain", numbered))
     )
     before, after = LETTER_GAP.split("{}")
     missing = F.array_join(F.transform("missing_letters", F.upper), ", ")
-    gap = F.when(
-        (cid == f"{doc}-part-i") & (F.size("missing_letters") > 0), F.concat(F.lit(before), missing, F.lit(after))
-    ).when(F.col("_host"), F.lit(COLLISION_GAP))
+    gap = F.when((own == "part-i") & (F.size("missing_letters") > 0), F.concat(F.lit(before), missing, F.lit(after))).when(
+        F.array_contains("hosts", X.present(F.regexp_extract(own, LETTERED, 1))), F.lit(COLLISION_GAP)
+    )
     empty = F.array().cast("array<string>")
     scored = (
         cards.join(found, ["doc", "card_id"], "left")
         .join(segments, ["doc", "card_id"], "left")
         .join(recalls, ["doc", "card_id"], "left")
         .join(shared, "card_id", "left")
-        .join(hosts, "card_id", "left")
-        .join(facts, "card_id", "left")
+        .join(materialize(set_facts(cards), "set-facts"), "doc", "left")
         .withColumns(
             {
                 "duplicate_ids": F.coalesce("duplicate_ids", empty),
                 "anchor_issue": anchor_issue(),
-                "misfiled": cid.rlike(f"^{quoted(doc)}-part-i-section-[a-z]-clause-\\d+-p\\d+$"),
+                "misfiled": X.present(F.regexp_extract(own, COLLIDED, 1)),
                 "gap_issue": gap,
                 "flat_section": flat,
             }
         )
     )
-    return ladder(scored)
+    return ladder(scored.drop("letters", "hosts", "missing_letters", "numbered_sections"))
 
 
 def tallies(rows: DataFrame) -> DataFrame:

@@ -413,7 +413,7 @@ def scored_cards(spark: SparkSession, folder: str) -> DataFrame:
         found.alias("pages"),
         F.when(k % 19 > 0, (F.col("p_size") % 40 + 1).cast("bigint")).alias("page_start"),
         F.when(k % 3 > 0, (F.col("p_size") % 40 + 30).cast("bigint")).alias("page_end"),
-        (k % 41 == 0).alias("misfiled"),
+        F.when(k % 41 == 0, "h").alias("misfiled"),
         F.when(k % 23 == 0, F.lit("A lettered section is missing.")).alias("gap_issue"),
         F.when(k % 5 == 0, "The board shall: a. meet; b. vote; ii. report.").when(k % 5 == 1, "The board shall meet.").alias("segment"),
         (k % 60).alias("segment_tokens"), (k % 31).alias("card_tokens"), ((k % 100) / 100).alias("recall"),
@@ -436,9 +436,7 @@ def finding_patterns(spark: SparkSession, folder: str) -> DataFrame:
     return A.finding_patterns(A.ladder(scored_cards(spark, folder)))
 
 
-f = A.FINDINGS
-sql_text = lambda value: "'" + value.replace("'", "''") + "'"
-VERDICTS = f"""
+VERDICTS = """
 WITH base AS (
   SELECT p_partkey AS k, 'card-' || p_partkey AS card_id, CASE WHEN p_partkey % 4 = 0 THEN 'section' ELSE 'clause' END AS unit_type,
     p_partkey % 17 = 0 AS unfound, p_partkey % 40 + 1 AS f1, p_partkey % 40 + 9 AS f2,
@@ -462,20 +460,20 @@ WITH base AS (
   SELECT *, CASE WHEN blocked THEN 'BLOCKED_UNSAFE_TO_IMPORT' WHEN gap OR flat_section OR flat_list THEN 'NEEDS_STRUCTURAL_FIX'
       WHEN warned OR duplicate THEN 'NEEDS_MINOR_FIX' ELSE 'PASS' END AS verdict,
     CASE WHEN blocked THEN 'P0' WHEN gap OR flat_section OR flat_list THEN 'P1' ELSE 'P2' END AS severity,
-    concat_ws(' ', anchor, CASE WHEN misfiled THEN {sql_text(f['misfiled'][0])} END,
+    concat_ws(' ', anchor, CASE WHEN misfiled THEN 'Part I Section I clause is misidentified as Section H; title, slug, parent, and hierarchy are wrong.' END,
       CASE WHEN gap THEN 'A lettered section is missing.' END,
       CASE WHEN omission THEN 'Card source text omits or splices required PDF clause text; card captures about ' || (k % 100)
         || '% of the extracted clause segment.' END,
-      CASE WHEN flat_section THEN {sql_text(f['flat_section'][0])} END, CASE WHEN flat_list THEN {sql_text(f['flat_list'][0])} END,
-      CASE WHEN warned THEN {sql_text(f['warning'][0])} END,
+      CASE WHEN flat_section THEN 'Part II numeric section hierarchy is flattened; card is parented directly under Part II or a page-suffixed letter section instead of Section N.' END, CASE WHEN flat_list THEN 'Nested source list structure is flattened into paragraph text, which loses legal hierarchy even where words are present.' END,
+      CASE WHEN warned THEN 'Unresolved-reference warning is accurately carried as review metadata and should remain visible for import review.' END,
       CASE WHEN duplicate THEN 'Exact source text is shared with another card: ' || card_id || ', card-x.' END) AS found,
-    concat_ws(' ', CASE WHEN anchor IS NOT NULL THEN {sql_text(f['anchor'][1])} END, CASE WHEN misfiled THEN {sql_text(f['misfiled'][1])} END,
-      CASE WHEN gap THEN {sql_text(f['gap'][1])} END, CASE WHEN omission THEN {sql_text(f['omission'][1])} END,
-      CASE WHEN flat_section THEN {sql_text(f['flat_section'][1])} END, CASE WHEN flat_list THEN {sql_text(f['flat_list'][1])} END,
-      CASE WHEN warned THEN {sql_text(f['warning'][1])} END, CASE WHEN duplicate THEN {sql_text(f['duplicate'][1])} END) AS fix
+    concat_ws(' ', CASE WHEN anchor IS NOT NULL THEN 'Re-anchor to the PDF page containing the source text and re-run source-text verification.' END, CASE WHEN misfiled THEN 'Create/use the Part I Section I parent and move this clause under it with the correct clause ID/title.' END,
+      CASE WHEN gap THEN 'Add the missing Part I section card and correct the affected child metadata.' END, CASE WHEN omission THEN 'Regenerate this clause from the full PDF clause segment, preserving nested list items and page-spanning text.' END,
+      CASE WHEN flat_section THEN 'Add numbered Section parent cards and reparent/rename this card under its true Section N heading.' END, CASE WHEN flat_list THEN 'Represent lower-alpha/roman subclauses as nested structure or separate child units with source page attribution.' END,
+      CASE WHEN warned THEN 'Resolve the target if a stable Clause Card exists; otherwise keep the unresolved warning attached.' END, CASE WHEN duplicate THEN 'Confirm this is a legitimate repeated heading/text, or deduplicate if it is an artifact copy.' END) AS fix
   FROM g
 ), final AS (
-  SELECT card_id, verdict, severity, CASE WHEN found = '' THEN {sql_text(f['none'][0])} ELSE found END AS issue,
+  SELECT card_id, verdict, severity, CASE WHEN found = '' THEN 'No source-fidelity, anchor, hierarchy, duplicate, or warning issue found in this audit.' ELSE found END AS issue,
     CASE WHEN fix = '' THEN 'None.' ELSE fix END AS required_fix,
     CASE WHEN verdict = 'PASS' AND unit_type = 'section' THEN 'medium-high' WHEN NOT unfound AND anchor IS NULL THEN 'high'
       ELSE 'medium' END AS confidence FROM rows

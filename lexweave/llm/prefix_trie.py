@@ -215,9 +215,10 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
     several = several.withColumn("saved_tokens", F.col("tokens") - F.col("passed")).select(columns)
     single = counted.where("n_convs = 1").withColumns({"n_leaves": F.lit(1).cast("long"), "saved_tokens": zero}).select(columns)
-    root = named.agg(F.sum("tokens").alias("saved_tokens"), F.sum("n_leaves").alias("n_leaves")).crossJoin(counted.where("depth = 1").agg(F.count("*").alias("n_children")))
+    root = named.agg(F.sum("tokens").alias("saved_tokens"), F.sum("n_leaves").alias("n_leaves"))
+    tops = F.lit(counted.where("depth = 1").count()).cast("long")
     root = root.select(
-        F.lit(least).cast("long"), zero, F.lit(None).cast("long"), F.lit(count).cast("long"), "n_children", F.coalesce("n_leaves", zero + 1), F.coalesce("saved_tokens", zero)
+        F.lit(least).cast("long"), zero, F.lit(None).cast("long"), F.lit(count).cast("long"), tops, F.coalesce("n_leaves", zero + 1), F.coalesce("saved_tokens", zero)
     ).where(F.lit(count > 0))
 
     last = cut.where(F.col("block") == F.floor((F.col("length") - 1) / BLOCK)).select(F.col("conv_id").alias("member"), F.element_at("steps", -1).alias("s"))

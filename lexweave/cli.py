@@ -71,7 +71,7 @@ def main(argv: list[str] | None = None) -> int:
     audit.add_argument("output")
     audit.add_argument("--pages", required=True, help="Parquet table of source pages (page, text)")
     audit.add_argument("--doc", required=True, help="slug that the card identifiers start with")
-    audit.add_argument("--rows", help="folder for the audit rows (CSV); summary and patterns go beside it")
+    audit.add_argument("--rows", help="file for the audit rows (CSV); summary and patterns go beside it")
     audit.add_argument("--register", help="warning register (JSON rows) whose warnings the cards carry")
     register = commands.add_parser("register")
     register.add_argument("output")

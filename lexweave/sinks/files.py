@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexweave.operators.validate import unsafe_path
+from lexweave.sinks.single import write_single
 
 WRITTEN = "path string, file_type string, sha256 string, sync_eligible boolean, source_document_slug string, clause_id string"
 NOT_SYNCED = ("raw_provenance", "raw_extraction", "raw_source", "schema_pack")
@@ -77,17 +78,19 @@ def manifest_lines(written: DataFrame) -> DataFrame:
     value = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("null"))
     names = ("file_type", "sha256", "sync_eligible", "source_document_slug", "clause_id")
     fields = [F.concat(F.lit(f"\n  {name}: "), value(name)) for name in names]
-    return written.select(F.concat(F.lit("- path: "), F.col("path"), *fields).alias("value"))
+    return written.select("path", F.concat(F.lit("- path: "), F.col("path"), *fields).alias("value"))
 
 
-def write_manifest(header: dict, written: DataFrame, folder: str) -> None:
-    """Write the import manifest as a folder of YAML text parts that read as one document in name order.
+#: Where the head of an import manifest ends and its list of files begins.
+FILES = b"\nfiles:\n"
 
-    The header is one small part; the entries, which grow with the corpus, are written by the tasks that hold them.
-    """
+
+def manifest_head(header: dict) -> str:
     import yaml
 
-    manifest_lines(written.orderBy("path")).write.mode("overwrite").text(folder)
-    head = yaml.safe_dump(header, sort_keys=False, default_flow_style=False) + "files:\n"
-    with open(os.path.join(folder, "head.yaml"), "w", encoding="utf-8", newline="\n") as handle:
-        handle.write(head)
+    return yaml.safe_dump(header, sort_keys=False, default_flow_style=False).rstrip("\n") + FILES.decode()
+
+
+def write_manifest(header: dict, written: DataFrame, target: str) -> None:
+    """Write the import manifest as one YAML file: the header, then the entries in the order of their paths."""
+    write_single(manifest_lines(written), ["path"], manifest_head(header), target)

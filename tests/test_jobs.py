@@ -1,3 +1,4 @@
+import csv
 import shutil
 from pathlib import Path
 
@@ -6,6 +7,7 @@ import yaml
 
 from lexweave import jobs
 from lexweave.cli import init
+from lexweave.sources import manifest as M
 from lexweave.sources.manifest import ManifestError, load_manifest
 from lexweave.sources.pages import read_frontmatter
 
@@ -86,7 +88,15 @@ def test_compiled_files(compiled):
 
 def test_compiled_corpus_is_valid_and_passes_gold(spark, project, compiled):
     out, _ = compiled
+    before = yaml.safe_load((out / "import-manifest.yaml").read_text(encoding="utf-8"))
+    assert before["validation_status"] == "pending"
     result = jobs.validate_corpus(spark, str(out), update=True)
+    after = yaml.safe_load((out / "import-manifest.yaml").read_text(encoding="utf-8"))
+    assert after == before | {"validation_status": "passed"}
+    paths = [e["path"] for e in after["files"]]
+    assert paths == sorted(paths) and all((out / p).is_file() for p in paths)
+    entries = M.manifest_entries(spark, str(out / "import-manifest.yaml")).collect()
+    assert sorted((r.path, r.sha256, r.file_type) for r in entries) == sorted((e["path"], e["sha256"], e["file_type"]) for e in after["files"])
     assert (result["validation_status"], result["blocking_error_count"], result["warning_count"]) == ("passed", 0, 1), result["issues"]
     assert result["legal_clause_count"] == 15 and result["provenance_count"] == 9
     assert "Validation status: passed" in jobs.corpus_report(spark, str(out))
@@ -100,7 +110,10 @@ def test_compiled_corpus_is_valid_and_passes_gold(spark, project, compiled):
     assert [r.value.split(" | ")[1] for r in table] == ["act-7.2"]
     warned = str(project / "register" / "warning-register.json")
     audit = jobs.audit_corpus(spark, str(out), pages, "club", str(project / "audit"), warned)
-    assert audit["reviewed"] == 15 and list((project / "audit").glob("*.csv"))
+    with open(project / "audit", newline="", encoding="utf-8") as handle:
+        rows = list(csv.DictReader(handle))
+    assert audit["reviewed"] == 15 and [r["card_id"] for r in rows] == sorted({r["card_id"] for r in rows}) and len(rows) == 15
+    assert all(r["file_name"] == r["card_id"] + ".md" and r["verdict"] and r["hierarchy"].endswith(r["card_id"]) for r in rows)
     assert spark.read.json(str(project / "audit-summary")).first().reviewed == 15
     assert (out / ".raw/validation-issues").is_dir()
 
@@ -139,7 +152,7 @@ def reader_that_fails(content):
         (lambda d: edit(d / "legal/clauses/bylaws/rules-1.1.md", "slug: rules-1.1\n", "slug: rules-1.2\n"), {"duplicate_slug", "manifest_hash"}),
         (lambda d: edit(d / "legal/clauses/bylaws/rules-1.1.md", "jurisdiction: Sample Club\n", ""), {"missing_required_field", "manifest_hash"}),
         (lambda d: edit(d / "index.md", "---\n", "", 1), {"frontmatter", "broken_wikilink", "manifest_hash"}),
-        (lambda d: shutil.rmtree(d / "import-manifest.yaml"), {"manifest_file"}),
+        (lambda d: (d / "import-manifest.yaml").unlink(), {"manifest_file"}),
     ],
 )
 def test_damage_is_found(spark, compiled, tmp_path, change, category):

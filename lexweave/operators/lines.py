@@ -49,15 +49,14 @@ def lines_with_neighbours(blocks: DataFrame, front_pages: int) -> DataFrame:
     """Cleaned lines with the line before and after, also across block borders.
 
     Neighbours are looked up per block: inside a block they come from the block's own array, so only the first and
-    last line of each block travel through the ordered scan. ``front`` marks lines on title and contents pages: pages
-    below front_pages of a locally extracted PDF with more than ten pages.
+    last line of each block travel through the ordered scan. ``front`` marks lines on title and contents pages. How many
+    pages these are is said by a column front_pages of the blocks; where it is absent or null they are the pages below
+    front_pages of a locally extracted PDF with more than ten pages.
     """
-    is_front = (
-        (F.col("provider") == "local_pdf")
-        & (F.coalesce(F.col("page_count"), F.lit(0)) > 10)
-        & F.col("page").isNotNull()
-        & (F.col("page") < front_pages)
-    )
+    usual = F.when((F.col("provider") == "local_pdf") & (F.coalesce(F.col("page_count"), F.lit(0)) > 10), F.lit(front_pages - 1)).otherwise(F.lit(0))
+    stated = F.col("front_pages") if "front_pages" in blocks.columns else F.lit(None).cast("int")
+    last = F.coalesce(stated, usual)
+    is_front = F.coalesce((last > 0) & (F.col("page") <= last), F.lit(False))
     # Cleaning is the costly step; its result is kept, as the scan below reads it twice.
     cleaned = with_chunk(blocks).select(
         "slug", "chunk", "block_ord", "block_id", "page", "original_page", "line_start", is_front.alias("front"),

@@ -17,7 +17,7 @@ DOCUMENT_SCHEMA = (
     "source_path string, document_type string, title string, slug string, jurisdiction string, authority_rank int, "
     "status string, confidentiality string, effective_date string, owner string, version string, reviewed_by string, "
     "metadata_notes array<string>, profile string, corpus_id string, corpus_version string, target_namespace string, "
-    "classification string, sync_eligibility string, review_date string, doc_ord bigint"
+    "classification string, sync_eligibility string, review_date string, front_pages int, doc_ord bigint"
 )
 FIELDS = tuple(part.split()[0] for part in DOCUMENT_SCHEMA.split(", "))[:-1]
 REQUIRED = FIELDS[:13]
@@ -44,6 +44,9 @@ def _check(entry: dict) -> None:
         raise ManifestError(f"unknown fields {sorted(unknown)}, missing fields {missing}")
     if type(entry["authority_rank"]) is not int:
         raise ManifestError("authority_rank must be a whole number")
+    pages = entry.get("front_pages")
+    if pages is not None and (type(pages) is not int or pages < 0):
+        raise ManifestError("front_pages must be a whole number of title and contents pages, or null")
     for name, allowed in DOMAINS.items():
         if name in entry and entry[name] not in allowed:
             raise ManifestError(f"{name} must be one of {allowed}")

@@ -116,6 +116,14 @@ def test_front_pages_are_dropped_only_for_long_documents(parse):
     assert "sample-part-i-section-1-clause-1" in units
 
 
+@pytest.mark.parametrize("stated, dropped", [(0, False), (4, True), (1, True), (None, True)])
+def test_the_manifest_states_the_front_pages(page_blocks, documents, stated, dropped):
+    pages = ["Part I: Contents\nSection 1: Old\n1. x"] + ["3"] * 3 + ["Part II: Real\nSection 2: New\n1. y"]
+    blocks = page_blocks(pages, page_count=40).withColumn("front_pages", F.lit(stated).cast("int"))
+    units = {u.clause_id for u in parse_bylaws(documents(), blocks).units.collect()}
+    assert ("sample-part-i-section-1-clause-1" not in units) is dropped and "sample-part-ii-section-2-clause-1" in units
+
+
 def test_lines_after_dates_and_dropped_lines(parse):
     units, errors = parse(
         "stray\nPart I: A\nlost text\nSection 1: S\nlost too\nA. X\n1. one\nAdopted: May 1990\n(q) dropped\nkept text\n(z) kept inside\nB. Y\n(a) dropped\nAdopted: June 1991\nbody\n"

@@ -74,6 +74,15 @@ def short_phrases(pages: DataFrame, questions: DataFrame) -> DataFrame:
     return found.select("question_id", "path").distinct()
 
 
+def unsent(held: DataFrame) -> DataFrame:
+    """held for a join that never sends it whole to every task by way of the driver.
+
+    Words repeat from page to page, so that a file of them is a small part of their size in memory and would pass for a
+    small table.
+    """
+    return held.hint("merge")
+
+
 def by_rarity(asked: DataFrame, held: DataFrame) -> DataFrame:
     """question_id, word, pages (that hold it), ord (1 is the rarest) and n (words of the question that any page holds)."""
     known = asked.join(held.groupBy("word").agg(F.count("*").alias("pages")), "word")
@@ -83,7 +92,7 @@ def by_rarity(asked: DataFrame, held: DataFrame) -> DataFrame:
 
 def overlaps_of(pairs: DataFrame, asked: DataFrame, held: DataFrame) -> DataFrame:
     """Words shared by each pair (question_id, path)."""
-    words = pairs.join(asked.select("question_id", "word"), "question_id").join(held, ["word", "path"])
+    words = pairs.join(asked.select("question_id", "word"), "question_id").join(unsent(held), ["word", "path"])
     return words.groupBy("question_id", "path").agg(F.count("*").alias("overlap"))
 
 
@@ -95,7 +104,7 @@ def score_floors(asked: DataFrame, held: DataFrame, questions: DataFrame, top_k:
     """
     before = F.sum("pages").over(Window.partitionBy("question_id").orderBy("ord")) - F.col("pages")
     rare = asked.withColumn("before", before).where((F.col("before") < SEEDS * top_k) & (F.col("pages") <= SEEDS * SEEDS * top_k))
-    met = rare.join(held, "word").groupBy("question_id", "path").agg(F.count("*").alias("met"))
+    met = rare.join(unsent(held), "word").groupBy("question_id", "path").agg(F.count("*").alias("met"))
     best = Window.partitionBy("question_id").orderBy(F.desc("met"), "path")
     near = met.withColumn("k", F.row_number().over(best)).where(F.col("k") <= top_k).select("question_id", "path")
     bound = overlaps_of(near, asked, held).groupBy("question_id").agg(F.when(F.count("*") >= top_k, F.min("overlap")).alias("bound"))
@@ -117,7 +126,7 @@ def contenders(asked: DataFrame, held: DataFrame, floors: DataFrame, top_k: int)
     plan = asked.join(floors, "question_id").withColumn("last", F.col("n") - left_out)
     enough = F.greatest(F.col("floor") - left_out, F.lit(1))
     kept = plan.where("ord <= last").select("question_id", "word", enough.alias("enough"))
-    found = kept.join(held, "word").groupBy("question_id", "path", "enough").agg(F.count("*").alias("met")).where("met >= enough")
+    found = kept.join(unsent(held), "word").groupBy("question_id", "path", "enough").agg(F.count("*").alias("met")).where("met >= enough")
     common = plan.where("floor = 1 and ord > last").select("question_id", "word")
     first = Window.partitionBy("word").orderBy("path")
     firsts = held.join(common.select("word").distinct(), "word", "left_semi").withColumn("k", F.row_number().over(first)).where(F.col("k") <= top_k)

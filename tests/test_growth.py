@@ -1,8 +1,12 @@
 """Steps whose cost once grew beyond their input: what they send, and how often they read a text."""
 
+import re
+
 from pyspark.sql import functions as F
 
+from lexweave.functions import patterns as P
 from lexweave.functions import text as X
+from lexweave.operators import references as R
 from lexweave.operators import retrieval as Q
 from lexweave.session import materialize
 
@@ -24,3 +28,30 @@ def test_words_of_pages_are_never_broadcast(spark):
     assert plan_of(Q.score_floors(asked, held, questions, 2)).count("SortMergeJoin") >= 2
     best = {(r.question_id, r["rank"]): r.path for r in Q.rank_pages(pages, questions, 2).collect()}
     assert best["q1", 1] == "p7" and best["q2", 1] == "p3" and len(best) == 4
+
+
+def test_resolution_reads_each_clause_once(spark):
+    empty = "cast(null as int)"
+    units = spark.createDataFrame(
+        [("d", "d-section-7", "section", "7", "Section 7: x", 1), ("d", "d-clause-1", "clause", "1", "1. Subject to Section 7.", 2),
+         ("d", "d-clause-2", "clause", "2", "2. This is \u017fubject to §.", 3), ("d", "d-clause-3", "clause", "(b) x", "3. Amended by section (b) x.", 4)],
+        "slug string, clause_id string, unit_type string, number string, text string, block_ord bigint",
+    ).selectExpr("*", "0 as offset", "0L as chunk", *[f"{empty} as {c}" for c in ("page", "page_end", "line_start", "line_end")])
+    documents = spark.createDataFrame([("d", "D", 0)], "slug string, title string, doc_ord bigint")
+    resolved = R.resolve(R.references(units), units, documents)
+    assert "read with" not in plan_of(resolved)
+    rows = {r.source_unit_id: (r.reference_type, r.reference_text, r.resolved_target_id) for r in resolved.collect()}
+    assert rows == {"d-clause-1": ("subject_to", "7", "d-section-7"), "d-clause-2": ("subject_to", "§", None), "d-clause-3": ("amends", "(b) x", "d-clause-3")}
+
+
+KEYS = ["7", "Section 7", "acts-1-part-i", "a--b", "-a", "a.", "7.2", " 7 ", "ARTICLE  x y", "a.-b", "a\n", "", "(b)", "clause-7", "policy\u00a0IV", "\u00c4b", None]
+
+
+def test_plain_keys_are_those_of_the_long_way(spark):
+    def key(text):
+        strip = lambda t: re.sub(rf"^[{P.WHITE}]+|[{P.WHITE}]+\Z", "", t)
+        bare = re.sub(r"^(?:section|article|policy|clause)\s+", "", strip(text).lower())
+        return re.sub(r"^-+|-+$", "", re.sub(r"[^A-Za-z0-9.]+", "-", strip(bare))).lower()
+
+    rows = spark.createDataFrame([(k,) for k in KEYS], "k string").select("k", X.unit_key(F.col("k")).alias("u")).collect()
+    assert {r.k: r.u for r in rows} == {k: None if k is None else key(k) for k in KEYS}

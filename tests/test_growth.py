@@ -8,6 +8,7 @@ from lexweave.functions import patterns as P
 from lexweave.functions import text as X
 from lexweave.operators import references as R
 from lexweave.operators import retrieval as Q
+from lexweave.operators.flows import flow_parts
 from lexweave.session import materialize
 
 
@@ -55,3 +56,22 @@ def test_plain_keys_are_those_of_the_long_way(spark):
 
     rows = spark.createDataFrame([(k,) for k in KEYS], "k string").select("k", X.unit_key(F.col("k")).alias("u")).collect()
     assert {r.k: r.u for r in rows} == {k: None if k is None else key(k) for k in KEYS}
+
+
+LINES = ["  a \u00a0b\u200bc\u201cd\u201d ", "x\u3000\ty", "\ufeff", "plain text only", "a  b", " \x85\u2028z\x1c", "", "\u00e9 \u00e9"]
+
+
+def test_clean_lines_and_margins(spark):
+    table = str.maketrans("\u200b\ufeff\u201c\u201d", "  \"\"")
+    clean = lambda t: re.sub(f"[{P.WHITE}]+", " ", t.translate(table)).strip(" ")
+    rows = spark.createDataFrame([(k,) for k in LINES], "k string")
+    rows = rows.select("k", X.clean_line(F.col("k")).alias("c"), X.strip(F.col("k")).alias("s")).collect()
+    assert [r.c for r in rows] == [clean(k) for k in LINES]
+    assert [r.s for r in rows] == [re.sub(rf"^[{P.WHITE}]+|[{P.WHITE}]+\Z", "", k) for k in LINES]
+
+
+def test_parts_are_cut_where_the_pattern_says(spark):
+    lines = ["b. charges: i. discount 5;", "12. The buyer takes 3 units:", "a; ii.", "x: abcdefg. y", "x:\u00a0b. y", "1. A. b", ""]
+    rows = spark.createDataFrame([(k,) for k in lines], "k string")
+    rows = rows.select(flow_parts(F.col("k")).getField("part").alias("p"), F.filter(F.split("k", P.RUN_IN), lambda p: p != "").alias("q")).collect()
+    assert [r.p for r in rows] == [r.q for r in rows] and rows[0].p == ["b. charges:", "i. discount 5;"]

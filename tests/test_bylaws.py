@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lexweave.operators.bylaws import parse_bylaws
+from lexweave.operators.bylaws import outline, parse_bylaws, unit_rows
 from lexweave.operators.flows import flow_parts, with_flow_text
 
 
@@ -163,3 +163,17 @@ def test_list_markers_match_a_sequential_reading(spark):
     )
     got = {r.n: r.text for r in with_flow_text(grouped, "parts", "text").collect()}
     assert got == want
+
+
+def test_structure_is_read_without_texts(page_blocks, documents):
+    pages = ["Part I: X\nAn Act\nA. FIRST\nOpening line.\n1. One\na. sub;", "b. more.\nAdopted: May\nB. SECOND\n1. Two."]
+    found = outline(page_blocks(pages))
+    whole = {u.clause_id: u for u in parse_bylaws(documents(), page_blocks(pages)).units.collect() if not u.is_top_level}
+    bare = unit_rows(found, texts=False)
+    names = ["clause_id", "parent_clause_id", "parent_chain", "number", "title", "unit_ord", "page", "metadata"]
+    assert {tuple(map(str, r)) for r in bare.select(*names).collect()} == {tuple(str(u[n]) for n in names) for u in whole.values()}
+    plan = bare.select("clause_id", "parent_chain")._jdf.queryExecution().executedPlan().toString()
+    assert "entries" not in plan
+    # text and last page go on over the border of a page
+    clause = whole["sample-part-i-section-a-clause-1"]
+    assert (clause.text, clause.page_end) == ("1. One\na. sub;\nb. more.", 2)

@@ -39,3 +39,14 @@ def test_hot_group_is_numbered_across_its_chunks(spark):
     assert numbered.where("n != i + 1").count() == 0
     # The only window over the whole group runs on one row per chunk.
     assert df.select("chunk").distinct().count() == 50
+
+
+def test_written_scan_equals_the_other(spark):
+    rows = [("a", c, c * 10 + i, v) for c in range(3) for i, v in enumerate([None, "x", None] if c != 1 else [None, None])] + [("b", 0, 0, "y")]
+    df = spark.createDataFrame(rows, "k string, chunk int, at int, v string")
+    asked = dict(
+        last={"seen": F.col("v")}, sums={"n": F.lit(1).cast("bigint")}, mins={"least": F.col("at")}, lead={"then": F.col("at")}, lag={"was": F.col("at")}
+    )
+    plain, written = (ordered_scan(df, ["k"], "chunk", ["at"], **asked, **more) for more in ({}, {"label": "t"}))
+    assert sorted(map(str, written.collect())) == sorted(map(str, plain.collect()))
+    assert "parquet" in written._jdf.queryExecution().optimizedPlan().toString()

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from lexweave.functions import patterns as P
 from lexweave.functions import text as X
+from lexweave.operators import asof
+from lexweave.operators import audit as A
 from lexweave.operators import references as R
 from lexweave.operators import retrieval as Q
 from lexweave.operators.flows import flow_parts
@@ -75,3 +77,21 @@ def test_parts_are_cut_where_the_pattern_says(spark):
     rows = spark.createDataFrame([(k,) for k in lines], "k string")
     rows = rows.select(flow_parts(F.col("k")).getField("part").alias("p"), F.filter(F.split("k", P.RUN_IN), lambda p: p != "").alias("q")).collect()
     assert [r.p for r in rows] == [r.q for r in rows] and rows[0].p == ["b. charges:", "i. discount 5;"]
+
+
+def test_segments_are_spans_of_pages_that_exist(spark):
+    far = 10**10
+    pages = [("d", 1, "1. One opens;"), ("d", 2, " \n7"), ("d", far, "goes on;"), ("d", 2 * far, "and on\n2. Two opens;"), ("e", 1, "B.\n2. Other;"), (None, 4, "x"), ("e", None, "1. y")]
+    pages += [("f", i * far, f"{i + 1}. Rule {i} on\nline{i}") for i in range(9)] + [("f", 9 * far, "Hall"), ("f", 9 * far + 1, "Z.")]
+    cards = [("d", "c1", "1. One opens;", 1), ("d", "c2", "2. Two opens;", 7), ("e", "c3", "2. Other;", 1), ("f", "c4", "9. Rule 8 on", 2), ("f", "c5", "3. Rule 2 on", 2 * far)]
+    cards = spark.createDataFrame([(d, c, "clause", t, p) for d, c, t, p in cards], "doc string, card_id string, unit_type string, source_text string, page_start bigint")
+    got = A.clause_segments(cards, spark.createDataFrame(pages, "doc string, page bigint, text string").repartition(5)).collect()
+    assert {r.card_id: r.segment for r in got} == {
+        "c1": "1. One opens; goes on; and on", "c2": "2. Two opens;", "c3": "2. Other;", "c4": "9. Rule 8 on line8", "c5": "3. Rule 2 on line2"
+    }
+
+
+def test_rows_see_those_behind_them_across_tasks(spark):
+    rows = spark.range(23).selectExpr("id", "shiftleft(id div 4, 33) + id % 4 as _at", "id div 4 as _part").repartition(3)
+    got = asof.followed(rows, F.col("id"), 6, "behind").orderBy("id").collect()
+    assert [(r.id, r.no, r.behind) for r in got] == [(i, i, list(range(i + 1, min(i + 7, 23)))) for i in range(23)]

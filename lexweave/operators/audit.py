@@ -62,47 +62,54 @@ def inner_words(text: Column) -> Column:
     return X.audit_words(trimmed)
 
 
+def word_keys(words: Column) -> Column:
+    """Words as numbers that stand for them and their document. Two words that share a number only bring more candidates."""
+    return F.transform(words, lambda w: F.xxhash64(F.col("doc"), w))
+
+
+def held_words(pages: DataFrame, words: Column) -> DataFrame:
+    """What each page holds: _key, page."""
+    known = pages.where(F.col("doc").isNotNull() & F.col("page").isNotNull())
+    return known.select(F.explode(word_keys(words)).alias("_key"), "page")
+
+
 def search_keys(cards: DataFrame, frequency: DataFrame) -> DataFrame:
-    """Words of which a page must hold at least one to be confirmed for a card: doc, card_id, word.
+    """Words of which a page must hold at least one to be confirmed for a card: _c, _key.
 
     Each way of confirmation gives words and a number of them that is enough: one inner word for containment (of the
     whole text, or of its first or last words), and for coverage so many that not all of them may be missing. The
-    rarest words are taken, so common words hardly ever become keys.
+    rarest words are taken, so common words hardly ever become keys. A card's words are counted once, whatever number of
+    ways they serve, and move as numbers.
     """
-    long_needle = is_long(F.col("needle"))
-    cards = with_longest_line(cards)
-    line, line_words = F.col("_line.n"), F.col("_line.words")
-
-    def scope(name: str, words: Column, enough: Column | int, when: Column) -> DataFrame:
-        return cards.where(when).select(
-            "doc", "card_id", F.lit(name).alias("scope"), (F.lit(enough) if isinstance(enough, int) else enough).alias("enough"),
-            F.explode(words).alias("word"),
-        )
-
-    slack = lambda words, share: F.floor(F.size(words) * (1 - share) + 1e-9) + 1
-    yes = F.lit(True)
-    scopes = [
-        scope("whole", inner_words(F.col("needle")), 1, yes),
-        scope("heading", F.col("words"), 1, F.size("words") <= SHORT_LINE_WORDS),
-        scope("first", inner_words(first_words(F.col("needle"))), 1, long_needle),
-        scope("last", inner_words(last_words(F.col("needle"))), 1, long_needle),
-        scope("cover", F.col("words"), slack(F.col("words"), TEXT_COVERAGE), long_needle),
-        scope("line", inner_words(line), 1, line.isNotNull()),
-        scope("line_first", inner_words(first_words(line)), 1, line.isNotNull() & is_long(line)),
-        scope("line_last", inner_words(last_words(line)), 1, line.isNotNull() & is_long(line)),
-        scope("line_cover", line_words, slack(line_words, LINE_COVERAGE), line.isNotNull()),
-    ]
-    union = scopes[0]
-    for more in scopes[1:]:
-        union = union.unionByName(more)
-    rarest = Window.partitionBy("doc", "card_id", "scope").orderBy(F.coalesce("pages", F.lit(0)), "word", "_n")
-    counted = union.withColumn("_n", F.monotonically_increasing_id()).join(frequency, ["doc", "word"], "left")
-    return (
-        counted.withColumn("_r", F.row_number().over(rarest))
-        .where(F.col("_r") <= F.col("enough"))
-        .select("doc", "card_id", "word")
-        .distinct()
+    cards = with_longest_line(cards.where(F.col("doc").isNotNull() & F.col("card_id").isNotNull()))
+    needle, line = F.col("needle"), F.col("_line.n")
+    # sorted words lie in runs, which gives each word and how often it occurs (m); words of the line alone have m = 0
+    runs = cards.withColumn("_s", F.array_sort("words"))
+    runs = runs.withColumn("_starts", F.filter(F.transform("_s", lambda w, i: F.when((i == 0) | (w != F.get("_s", i - 1)), i)), lambda i: i.isNotNull()))
+    run = F.transform("_starts", lambda at, j: F.struct(F.xxhash64("doc", F.get("_s", at)).alias("_key"), (F.coalesce(F.get("_starts", j + 1), F.size("_s")) - at).alias("m")))
+    rest = F.transform(F.array_except("_line.words", "words"), lambda w: F.struct(F.xxhash64("doc", w).alias("_key"), F.lit(0).alias("m")))
+    each = runs.select("_c", F.explode(F.when(line.isNull(), run).otherwise(F.concat(run, rest))).alias("_w")).select("_c", "_w.*")
+    counted = each.join(frequency, "_key", "left")
+    ranked = counted.groupBy("_c").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("pages", F.lit(0)).alias("n"), "_key", "m"))).alias("_all"))
+    slack = lambda words, share: (F.floor(F.size(words) * (1 - share) + 1e-9) + 1).cast("int")
+    taken = lambda words, enough, when: F.when(when, F.slice(F.array_intersect(F.col("_all").getField("_key"), word_keys(words)), F.lit(1), enough))
+    # a word that occurs often counts as often towards what is enough
+    enough = slack(F.col("words"), TEXT_COVERAGE)
+    none = F.struct(F.lit(0).alias("m"), F.lit(0).alias("k"))
+    first = F.aggregate("_all", none, lambda a, w: F.when(a["m"] >= enough, a).otherwise(F.struct((a["m"] + w["m"]).alias("m"), (a["k"] + 1).alias("k"))), lambda a: a["k"])
+    one, yes = F.lit(1), F.lit(True)
+    scopes = F.array(
+        taken(inner_words(needle), one, yes),
+        taken(F.col("words"), one, F.size("words") <= SHORT_LINE_WORDS),
+        taken(inner_words(first_words(needle)), one, is_long(needle)),
+        taken(inner_words(last_words(needle)), one, is_long(needle)),
+        F.when(is_long(needle), F.filter(F.slice("_all", F.lit(1), first), lambda w: w["m"] > 0).getField("_key")),
+        taken(inner_words(line), one, line.isNotNull()),
+        taken(inner_words(first_words(line)), one, line.isNotNull() & is_long(line)),
+        taken(inner_words(last_words(line)), one, line.isNotNull() & is_long(line)),
+        taken(F.col("_line.words"), slack(F.col("_line.words"), LINE_COVERAGE), line.isNotNull()),
     )
+    return cards.join(ranked, "_c").select("_c", F.explode(F.array_distinct(F.flatten(F.array_compact(scopes)))).alias("_key"))
 
 
 def confirmed(pages_side: DataFrame) -> Column:
@@ -150,7 +157,7 @@ def short_keys(cards: DataFrame) -> DataFrame:
     )
     few = F.filter(texts, lambda t: (t != "") & (F.size(inner_words(t)) == 0))
     grams = F.array_distinct(F.transform(few, lambda t: F.substring(t, 1, 3)))
-    return with_longest_line(cards).select("doc", "card_id", F.explode(grams).alias("gram"))
+    return with_longest_line(cards).select("_c", "doc", F.explode(grams).alias("gram"))
 
 
 def page_grams(pages: DataFrame) -> DataFrame:
@@ -159,49 +166,49 @@ def page_grams(pages: DataFrame) -> DataFrame:
     return chars.select("doc", "page", F.explode(F.array_distinct(runs)).alias("gram"))
 
 
-def candidate_pairs(cards: DataFrame, pages: DataFrame) -> DataFrame:
-    """(doc, card_id, page) pairs that can possibly be confirmed; no pair outside them can be."""
-    held = pages.select("doc", "page", F.explode("hay_words").alias("word"))
-    frequency = held.groupBy("doc", "word").agg(F.count("*").alias("pages"))
-    keys = search_keys(cards, frequency)
-    pairs = keys.join(held, ["doc", "word"]).select("doc", "card_id", "page")
+def candidate_pairs(cards: DataFrame, held: DataFrame, pages: DataFrame, reach: int = 0) -> DataFrame:
+    """(_c, page) pairs that can possibly be confirmed; no pair outside them can be. A word also speaks for the reach pages before."""
+    keys = search_keys(cards, held.groupBy("_key").agg(F.count("*").alias("pages")))
+    pairs = keys.join(held, "_key").select("_c", "page")
+    if reach:
+        pairs = pairs.select("_c", F.explode(F.sequence(F.col("page") - reach, "page")).alias("page"))
     short = short_keys(cards)
     if not short.isEmpty():
-        pairs = pairs.unionByName(short.join(page_grams(pages), ["doc", "gram"]).select("doc", "card_id", "page"))
+        pairs = pairs.unionByName(short.join(page_grams(pages), ["doc", "gram"]).select("_c", "page"))
     # Several lines without any word are confirmed by every page of the document.
-    wordless = cards.where((F.size("lines") > 1) & (F.size("words") == 0)).select("doc", "card_id")
-    pairs = pairs.unionByName(wordless.join(pages.select("doc", "page"), "doc").select("doc", "card_id", "page"))
+    wordless = cards.where((F.size("lines") > 1) & (F.size("words") == 0)).select("_c", "doc")
+    pairs = pairs.unionByName(wordless.join(pages.select("doc", "page"), "doc").select("_c", "page"))
     return pairs.distinct()
 
 
 def direct_pages(cards: DataFrame, pages: DataFrame) -> DataFrame:
     """Pages that confirm a card on their own."""
-    pairs = candidate_pairs(cards, pages)
+    pairs = candidate_pairs(cards, held_words(pages, F.col("hay_words")), pages)
     sides = pages.select("doc", "page", "hay", "hay_words")
     return (
-        pairs.join(cards, ["doc", "card_id"])
+        pairs.join(cards, "_c")
         .join(sides, ["doc", "page"])
         .where((F.col("needle") != "") & confirmed(sides))
         .select("doc", "card_id", "page")
     )
 
 
-def joined_pages(pages: DataFrame) -> DataFrame:
-    """Each page joined with the next one, printed page numbers left out.
-
-    Every page is normalised once; the normal form of a pair differs from its two halves only where they meet: a word
-    broken by a hyphen is put together there.
-    """
+def flat_pages(pages: DataFrame) -> DataFrame:
+    """Normal form and words of each page without printed page numbers, and what matters where it meets its neighbours."""
     flat = pages.select("doc", "page", F.array_join(clean_page_lines(F.col("text")), " ").alias("flat"))
-    side = flat.select(
+    return flat.select(
         "doc", "page", X.audit_norm(F.col("flat")).alias("left"),
         F.col("flat").rlike(r"full[-\u2013\u2014]$").alias("_full"), F.col("flat").startswith("time").alias("_time"),
-    ).withColumn("words", X.audit_words(F.col("left")))
-    side = materialize(side, "audit-flat-pages")
-    after = side.select(
-        "doc", (F.col("page") - 1).alias("page"), F.col("left").alias("right"), F.col("words").alias("right_words"),
-        F.col("_time").alias("_then"),
     )
+
+
+def joined_pages(side: DataFrame) -> DataFrame:
+    """Each page joined with the next one: hay, left, right, and the word that a hyphen breaks between them (across).
+
+    Every page is normalised once; the normal form of a pair differs from its two halves only where they meet: a word
+    broken by a hyphen is put together there.
+    """
+    after = side.select("doc", (F.col("page") - 1).alias("page"), F.col("left").alias("right"), F.col("_time").alias("_then"))
     both = side.drop("_time").join(after, ["doc", "page"])
     broken = F.col("left").rlike(r"(?U)\w-$") & F.col("right").rlike(r"(?U)^\w")
     hay = (
@@ -210,20 +217,26 @@ def joined_pages(pages: DataFrame) -> DataFrame:
         .otherwise(F.trim(F.concat_ws(" ", "left", "right")))
     )
     across = F.concat(F.regexp_extract("left", r"([a-z0-9]+)-$", 1), F.regexp_extract("right", r"^([a-z0-9]+)", 1))
-    held = F.array_distinct(F.concat("words", "right_words", F.when(broken, F.array(across)).otherwise(F.array().cast("array<string>"))))
-    return both.select("doc", "page", hay.alias("hay"), "left", "right", held.alias("hay_words"))
+    return both.select("doc", "page", hay.alias("hay"), "left", "right", F.when(broken, across).alias("across"))
 
 
 def spanning_pages(cards: DataFrame, pages: DataFrame) -> DataFrame:
-    """First pair of neighbouring pages that together hold a card no single page confirms."""
+    """First pair of neighbouring pages that together hold a card no single page confirms.
+
+    A pair holds the words of both pages, so that the words of single pages are looked up, each once.
+    """
     mine = pages.join(cards.select("doc").distinct(), "doc", "left_semi")
-    pairs = materialize(joined_pages(mine), "audit-joined-pages")
+    side = materialize(flat_pages(mine), "audit-flat-pages")
+    both = joined_pages(side)
+    broken = both.where(F.col("left").endswith("-") & F.col("across").isNotNull())
+    own = held_words(side, F.array_distinct(X.audit_words(F.col("left")))).unionByName(held_words(broken, F.array("across")))
+    own = materialize(own, "audit-flat-words")
     needle = F.col("needle")
     split = is_long(needle) & F.contains("left", first_words(needle)) & F.contains("right", last_words(needle))
     hit = (
-        candidate_pairs(cards, pairs)
-        .join(cards, ["doc", "card_id"])
-        .join(pairs, ["doc", "page"])
+        candidate_pairs(cards, own, both, 1)
+        .join(cards, "_c")
+        .join(both, ["doc", "page"])
         .where((needle != "") & (F.contains("hay", "needle") | split))
     )
     first = hit.groupBy("doc", "card_id").agg(F.min("page").alias("page"))
@@ -232,7 +245,7 @@ def spanning_pages(cards: DataFrame, pages: DataFrame) -> DataFrame:
 
 def found_pages(cards: DataFrame, pages: DataFrame) -> DataFrame:
     """Pages on which each card is found: doc, card_id, pages (sorted)."""
-    normal = materialize(normal_cards(cards), "audit-cards")
+    normal = materialize(normal_cards(cards).withColumn("_c", F.monotonically_increasing_id()), "audit-cards")
     held = materialize(normal_pages(pages), "audit-pages")
     direct = materialize(direct_pages(normal, held), "audit-direct")
     open_cards = materialize(
@@ -619,7 +632,7 @@ def audit(cards: DataFrame, pages: DataFrame) -> DataFrame:
     """
     cards = materialize(cards, "audit-input")
     found = found_pages(cards, pages)
-    segments = clause_segments(cards, pages)
+    segments = materialize(clause_segments(cards, pages), "audit-segments")
     text = cards.select("doc", "card_id", "source_text")
     recalls = token_recall(
         text.join(segments, ["doc", "card_id"], "left"), ["doc", "card_id"],

@@ -95,3 +95,19 @@ def test_rows_see_those_behind_them_across_tasks(spark):
     rows = spark.range(23).selectExpr("id", "shiftleft(id div 4, 33) + id % 4 as _at", "id div 4 as _part").repartition(3)
     got = asof.followed(rows, F.col("id"), 6, "behind").orderBy("id").collect()
     assert [(r.id, r.no, r.behind) for r in got] == [(i, i, list(range(i + 1, min(i + 7, 23)))) for i in range(23)]
+
+
+def test_words_of_a_card_are_counted_once(spark):
+    text = "all red lamps " + "glow " * 9 + "over q1 and q2"
+    cards = spark.createDataFrame([("d", "c", text + "\nsecond line"), ("d", "s", "alpha beta-\ngamma delta"), (None, "n", "x y")], "doc string, card_id string, source_text string")
+    pages = [("d", i, f"all red lamps over and {i}") for i in range(30)] + [("d", 40, text), ("d", 50, "alpha beta-"), ("d", 51, "17\ngamma delta"), (None, 1, "x y")]
+    pages = spark.createDataFrame(pages, "doc string, page bigint, text string")
+    normal = materialize(A.normal_cards(cards).withColumn("_c", F.monotonically_increasing_id()), "cards")
+    held = A.held_words(A.normal_pages(pages), F.col("hay_words"))
+    keys = A.search_keys(normal, held.groupBy("_key").agg(F.count("*").alias("pages")))
+    # a word that occurs nine times is enough for coverage, so that common words never become keys
+    common = pages.where("doc = 'd'").select(F.explode(F.split(F.lit("all red lamps over and"), " ")).alias("w"), F.xxhash64("doc", "w").alias("_key"))
+    assert keys.join(common, "_key").count() == 0
+    assert plan_of(keys).count("Generate") == 3
+    got = {r.card_id: r.pages for r in A.found_pages(cards, pages).collect()}
+    assert got == {"c": [40], "s": [50, 51]}

@@ -8,6 +8,8 @@ from lexweave.functions import patterns as P
 from lexweave.functions import text as X
 from lexweave.operators import asof
 from lexweave.operators import audit as A
+from lexweave.operators import bylaws as B
+from lexweave.operators import lines as L
 from lexweave.operators import references as R
 from lexweave.operators import retrieval as Q
 from lexweave.operators.flows import flow_parts
@@ -111,3 +113,38 @@ def test_words_of_a_card_are_counted_once(spark):
     assert plan_of(keys).count("Generate") == 3
     got = {r.card_id: r.pages for r in A.found_pages(cards, pages).collect()}
     assert got == {"c": [40], "s": [50, 51]}
+
+
+def test_lines_of_a_text_are_those_of_the_long_way(spark):
+    texts = ["a  b\nc", "a   b", "a    b \n  c", "\ta", "a\r\nb\rc", None, "", "1.\u200b x\ny  ", "\u00e9  z\u2028q", "  ", "a\n\n b ", "\u201cq\u201d  \x1f\x1cw"]
+    table = str.maketrans("\u200b\ufeff\u201c\u201d", "  \"\"")
+
+    def lines(text):
+        plain = re.sub(P.INLINE_SPACE, " ", text.translate(table))
+        return [line.strip(" ") for line in re.split(P.LINE_BREAK, plain)]
+
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.cleaned_lines(F.col("t")).alias("l")).collect()
+    assert {r.t: r.l for r in rows} == {t: None if t is None else lines(t) for t in texts}
+
+
+PAGES = ["Part I: Trade\nSection 1: One\nA. Goods\n1. x\n1. y\n7\nA. Goods\n1. z", "12\nTable of contents", "goes on\nSection 1: One\nA. Goods\n1. z"]
+
+
+def test_marks_of_lines_are_worked_out_once(spark, page_blocks):
+    found = B.pieces(L.neighbouring_blocks(page_blocks(PAGES), 5))
+    assert plan_of(found).count("table of contents") == 1
+    rows = found.orderBy("block_ord", "offset").select("kind", F.col("entries.line").alias("l")).collect()
+    assert [r.kind for r in rows] == ["part", "section", "letter", "clause", "clause", "letter", "clause", "text", "section", "letter", "clause"]
+    assert [r.l for r in rows if r.kind == "text"] == [["goes on"]]
+
+
+def test_tags_of_headings_lie_apart(spark, page_blocks):
+    heads = B.outline(page_blocks(PAGES)).heads
+    apart = [f for f in heads.inputFiles() if "bylaw-heading-tags" in f]
+    assert [(r.pos.block_ord, r.tag) for r in spark.read.parquet(*apart).orderBy("pos").collect()] == [(1, "-p1"), (3, "-p3")]
+    part = "sample-part-i"
+    first, again = f"{part}-section-1", f"{part}-section-1-p3"
+    assert [r.clause_id for r in heads.orderBy("block_ord", "offset").collect()] == [
+        part, first, f"{first}-a", f"{first}-a-clause-1", f"{first}-a-clause-1-p1", f"{first}-a-p1", f"{first}-a-p1-clause-1",
+        again, f"{again}-a", f"{again}-a-clause-1",
+    ]

@@ -7,7 +7,7 @@ from lexweave.functions import patterns as P
 from lexweave.functions import text as X
 from lexweave.operators.bylaws import Parsed
 from lexweave.operators.identity import (
-    UNIT_COLUMNS, attach_tag, chain_of, collision_tags, first_blocks, instrument_rows, path_id, pos,
+    UNIT_COLUMNS, attach_tag, chain_of, collision_tags, first_blocks, heading_tags, instrument_rows, path_id, pos,
 )
 from lexweave.operators.lines import POSITION, lines_with_neighbours
 from lexweave.operators.scan import ordered_scan
@@ -87,9 +87,10 @@ def parse_policies(documents: DataFrame, blocks: DataFrame) -> Parsed:
     heads = materialize(heads, "policy-heads")
 
     tags = materialize(collision_tags(heads, "kind"), "policy-tags")
-    heads = attach_tag(heads, tags, F.col("section.pos"), "section_tag")
-    heads = attach_tag(heads, tags, F.col("policy.pos"), "policy_tag")
-    heads = attach_tag(heads, tags, pos(), "own_tag")
+    above = heading_tags(tags, "policy-heading-tags")
+    heads = attach_tag(heads, above, F.col("section.pos"), "section_tag")
+    heads = attach_tag(heads, above, F.col("policy.pos"), "policy_tag")
+    heads = attach_tag(heads, tags.where(F.col("kind") == "clause"), pos(), "own_tag")
 
     section_id = path_id(slug, F.concat(F.lit("section-"), F.col("section.number"), F.col("section_tag")))
     policy_id = path_id(section_id, F.concat(F.lit("policy-"), F.lower("policy.number"), F.col("policy_tag")))

@@ -10,6 +10,7 @@ from lexweave.operators import asof
 from lexweave.operators import audit as A
 from lexweave.operators import bylaws as B
 from lexweave.operators import lines as L
+from lexweave.operators import policy
 from lexweave.operators import references as R
 from lexweave.operators import retrieval as Q
 from lexweave.operators.flows import flow_parts
@@ -148,3 +149,13 @@ def test_tags_of_headings_lie_apart(spark, page_blocks):
         part, first, f"{first}-a", f"{first}-a-clause-1", f"{first}-a-clause-1-p1", f"{first}-a-p1", f"{first}-a-p1-clause-1",
         again, f"{again}-a", f"{again}-a-clause-1",
     ]
+
+
+def test_tags_of_policies_lie_apart(spark, page_blocks, documents):
+    text = "Section 1: One\nI. TERMS\n(a) x\n(a) y\nI. TERMS\n(a) z"
+    units = policy.parse_policies(documents(), page_blocks([text])).units
+    assert any("policy-heading-tags" in f for f in units.inputFiles())
+    first = "sample-section-1-policy-i"
+    assert [r.clause_id for r in units.where("not is_top_level").orderBy("block_ord", "offset").collect()] == [
+        "sample-section-1", first, f"{first}-provision-a", f"{first}-provision-a-p1", f"{first}-p1", f"{first}-p1-provision-a"
+    ]

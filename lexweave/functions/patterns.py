@@ -19,6 +19,8 @@ INLINE = r"\t\x1f\x20\xa0\u1680\u2000-\u200a\u202f\u205f\u3000"
 INLINE_SPACE = rf"(?=[^!-~])(?:[{INLINE.replace('x20', 'x1f')}][{INLINE}]*| [{INLINE}]+)"
 # What neither breaks a line as a plain line feed does nor is printed ASCII.
 UNUSUAL = r"[^\n -~]"
+# The same, or a hyphen before white space.
+UNUSUAL_HYPHEN = r"[^\n -~]|-[\n ]"
 
 # Headings and numbered lines.
 LABELLED_HEADING = r"(?iU)^(Section|Article|Policy|Schedule|Appendix)\s+([A-Za-z0-9.]+)(?:\s*[-:]\s*(.+))?$"  # label, number, title

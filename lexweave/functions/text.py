@@ -31,6 +31,16 @@ def collapse(col: Column) -> Column:
     return F.trim(F.regexp_replace(col, P.SPACE, " "))
 
 
+def plainly_collapsed(col: Column, unusual: str, otherwise: Column) -> Column:
+    """The text collapsed by plain replacing, unless it holds what unusual says or long runs of white space.
+
+    Nearly all texts are printed ASCII and line feeds, for which this does the same as the pattern at a fraction of the cost.
+    """
+    single = F.replace(F.replace(col, F.lit("\n"), F.lit(" ")), F.lit("  "), F.lit(" "))
+    usual = ~col.rlike(unusual) & ~F.contains(single, F.lit("  "))
+    return F.when(usual, F.trim(single)).otherwise(otherwise)
+
+
 def clean_line(col: Column) -> Column:
     """Zero-width characters become spaces, curly double quotes straight ones, runs of white space one space."""
     return collapse(exchange(col, "\u200b\ufeff\u201c\u201d", "  \"\""))
@@ -96,7 +106,7 @@ def audit_norm(col: Column) -> Column:
     plain = exchange(col, "\u2019\u2018\u201c\u201d\u2013\u2014\u00a0", "''\"\"-- ")
     plain = F.replace(plain, F.lit("full- time"), F.lit("full-time"))
     plain = F.regexp_replace(plain, P.PAGE_HYPHEN, "")
-    return F.lower(collapse(plain))
+    return F.lower(plainly_collapsed(col, P.UNUSUAL_HYPHEN, collapse(plain)))
 
 
 def words(col: Column) -> Column:

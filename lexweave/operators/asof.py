@@ -6,7 +6,7 @@ No task ever holds a group, and the only window without partitions runs over the
 many as partitions.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,9 +16,12 @@ from lexweave.session import materialize
 _BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
-def dealt(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
-    """df in range partitions by order, with _at (rising along the order) and _part; written once."""
-    at = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+def dealt(df: DataFrame, order: Sequence[Column], label: str, made: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """df in range partitions by order, with _at (rising along the order) and _part; written once.
+
+    Ranges are found by reading df once more, so that costly columns and filters are better made of the rows as dealt.
+    """
+    at = made(df.repartitionByRange(*order).sortWithinPartitions(*order)).withColumn("_at", F.monotonically_increasing_id())
     return materialize(at.withColumn("_part", F.shiftright("_at", _BITS)), label)
 
 

@@ -15,6 +15,7 @@ from lexweave.plans import corpus as C
 from lexweave.session import materialize
 from lexweave.sources.tables import table
 
+ROW = "doc", "card_id", "verdict", "severity", "issue", "required_fix", "confidence"
 CARD = "doc", "card_id", "unit_type", "source_text", "page_start", "page_end", "parent_chain", "child_ids", "warning_ids"
 
 
@@ -23,7 +24,8 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("k")
     item = lambda e, i: F.concat(F.chr(i + 97), F.lit(". part "), e["p"], F.lit(" of "), k, F.lit(";"))
     rows = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("k"), F.struct(F.col("l_linenumber").alias("j"), F.col("l_partkey").alias("p")).alias("e"))
-    rows = rows.groupBy("k").agg(F.array_sort(F.collect_list("e")).alias("e"))
+    # what is written is small; all else is made from it where it is read
+    rows = materialize(rows.groupBy("k").agg(F.sort_array(F.collect_list("e")).alias("e")), "audit-orders")
     made = {
         "items": F.transform("e", item),
         "doc": F.when(k % 10 < 6, "acts-0").otherwise(F.concat(F.lit("acts-"), k % 10)),
@@ -49,7 +51,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def bylaw_audit(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Cards and pages."""
-    rows = materialize(orders(spark, folder), "audit-orders")
+    rows = orders(spark, folder)
     k, none = F.col("k"), F.array().cast("array<string>")
     text = (
         F.when(k % 23 == 0, F.concat(k % 50 + 1, F.lit(". Nothing of zz"), k, F.lit(" is printed.")))
@@ -77,15 +79,15 @@ def bylaw_audit(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
     pages = rows.select("doc", "page", F.array_join(F.concat(F.array("heading", "first"), "items"), "\n").alias("text"))
     front = docs.select("doc", F.lit(1).cast("bigint").alias("page"), F.lit("\n".join(t for _, t in titles)).alias("text"))
     cards = clauses.select(*CARD).unionByName(sections.select(*CARD)).unionByName(parts.select(*CARD))
-    return materialize(cards, "bylaw-cards"), materialize(pages.unionByName(front), "bylaw-pages")
+    return cards, pages.unionByName(front)
 
 
 def rows_of(spark: SparkSession, folder: str) -> DataFrame:
-    return C.built(spark, folder, "audit-rows", lambda: A.audit(*bylaw_audit(spark, folder)))
+    return C.built(spark, folder, "audit-rows", lambda: A.audit(*bylaw_audit(spark, folder)).select(*ROW))
 
 
 def audit_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return rows_of(spark, folder).select("doc", "card_id", "verdict", "severity", "issue", "required_fix", "confidence")
+    return rows_of(spark, folder)
 
 
 def audit_tallies(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,6 +3,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,15 +50,51 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+#: Has Spark remove the shuffle files of an action as soon as it is over, not when the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Tables written within passing, by call.
+_passing: list[list[str]] = []
+
+
+@contextmanager
+def without_leftovers(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of actions inside are removed at their end."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df once as Parquet in the shared scratch folder and read it back.
 
     Used where one result feeds several branches: it cuts the lineage, survives the loss of executors and gives
-    the planner real sizes for its join choices.
+    the planner real sizes for its join choices. What was shuffled for it goes with the last row written.
     """
-    path = f"{scratch_root(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _passing:
+        _passing[-1].append(path)
+    with without_leftovers(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def passing(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Result of make as a table; tables that make writes on its way are removed. make must not hand them to others."""
+    _passing.append([])
+    try:
+        df = materialize(make(), label)
+    finally:
+        *steps, last = _passing.pop() or [None]
+    if _passing:
+        _passing[-1].append(last)
+    for step in steps:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(step)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return df
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

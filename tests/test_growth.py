@@ -1,9 +1,11 @@
 """Steps whose cost once grew beyond their input: what they send, and how often they read a text."""
 
+import os
 import re
 
 from pyspark.sql import functions as F
 
+from lexweave import session
 from lexweave.functions import patterns as P
 from lexweave.functions import text as X
 from lexweave.operators import asof
@@ -159,3 +161,68 @@ def test_tags_of_policies_lie_apart(spark, page_blocks, documents):
     assert [r.clause_id for r in units.where("not is_top_level").orderBy("block_ord", "offset").collect()] == [
         "sample-section-1", first, f"{first}-provision-a", f"{first}-provision-a-p1", f"{first}-p1", f"{first}-p1-provision-a"
     ]
+
+
+def shuffle_blocks(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {blocks.apply(i).name() for i in range(blocks.size()) if blocks.apply(i).name().startswith("shuffle_")}
+
+
+def test_steps_leave_no_files_behind(spark):
+    before = shuffle_blocks(spark)
+    rows = materialize(spark.range(1000).groupBy(F.col("id") % 7).count(), "counted")
+    assert rows.count() == 7 and spark.conf.get(session.CLEANUP, None) != "true"
+    made = []
+
+    def steps():
+        made.append(materialize(rows.repartition(3), "step"))
+        made.append(session.passing(spark, lambda: materialize(made[0], "inner-step"), "inner"))
+        return made[1].groupBy().count()
+
+    kept = session.passing(spark, steps, "outer")
+    assert kept.first()["count"] == 7 and rows.count() == 7
+    (path,), gone = kept.inputFiles(), [f for m in made for f in m.inputFiles()]
+    assert "outer-" in path and gone and not any(os.path.exists(f.removeprefix("file:").removeprefix("//")) for f in gone)
+    wrote = {b for b in shuffle_blocks(spark) - before if b.endswith(".data")}
+    assert len(wrote) <= 8, wrote  # those of the counts here, none of the tables
+
+
+def test_cards_on_the_page_of_their_anchor_are_not_searched_for(spark):
+    row = "doc string, card_id string, source_text string, page_start int, page_end int"
+    cards = [("d", "own", "red lamps", 1, None), ("d", "far", "red lamps", 7, 7), ("d", "none", "blue lamps", 1, 1), ("d", "loose", "red lamps", None, None), ("d", "back", "red lamps", 1, 0),
+             ("d", "twice", "red lamps", 1, 1), ("d", "twice", "green lamps", 1, 1), (None, "null", "red lamps", 1, 1), ("d", "empty", "", 1, 1), ("d", "no", None, 1, 1)]
+    cards = spark.createDataFrame(cards, row)
+    pages = spark.createDataFrame([("d", 1, "all red lamps glow"), ("d", 2, "red lamps again"), ("d", 3, "green lamps"), (None, 1, "red lamps")], "doc string, page bigint, text string")
+    got = {r.card_id: r.pages for r in A.anchored_pages(cards, pages).collect()}
+    everywhere = {r.card_id: r.pages for r in A.found_pages(cards, pages).collect()}
+    assert got == {**everywhere, "own": [1]}
+    assert everywhere["own"] == everywhere["far"] == [1, 2] and everywhere["twice"] == [1, 2, 3]
+
+
+def test_recall_of_a_row_is_that_of_counted_words(spark):
+    texts = ["a b b c", "b b b x", "", "A, a! a\nb-\nc", "d", None]
+    rows = spark.createDataFrame([(i, s or "", c) for i, (s, c) in enumerate((s, c) for s in texts for c in texts)], "k int, s string, c string")
+    names = ("k", "segment_tokens", "card_tokens", "recall")
+    counted = A.with_recall(rows, F.col("s"), F.col("c")).select(*names)
+    assert "Exchange" not in plan_of(counted)
+    assert sorted(counted.collect()) == sorted(A.token_recall(rows, ["k"], F.col("s"), F.col("c")).select(*names).collect())
+
+
+def test_plain_texts_are_collapsed_as_others(spark):
+    texts = ["A b\nc", "a  b", "a   b", " x\n\ny ", "full- time", "wo-\nrd", "a - b", "a-b", "\u201cQ\u201d\u2014z", "\tt", "a\r\nb", "", None, "\n", "\u00c9- x", "a\x00b", "tail-", "x\u00a0 y"]
+    plain = lambda t: t.translate(str.maketrans("\u2019\u2018\u201c\u201d\u2013\u2014\u00a0", "''\"\"-- ")).replace("full- time", "full-time")
+    norm = lambda t: re.sub(f"[{P.WHITE}]+", " ", re.sub(r"(?<=\w)-\s+(?=\w)", "", plain(t))).strip(" ").lower()
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.audit_norm(F.col("t")).alias("n")).collect()
+    assert [r.n for r in rows] == [None if t is None else norm(t) for t in texts]
+
+
+def test_audit_reads_texts_in_one_place(spark):
+    card = "doc string, card_id string, unit_type string, source_text string, page_start int, page_end int, parent_chain array<string>, child_ids array<string>, warning_ids array<string>"
+    text = "1. The members of this club vote once in a year."
+    cards = [("d", "d-c1", "clause", text, 1, 1, ["d"], [], []), ("d", "d-c2", "clause", text, 1, 1, ["d"], [], []),
+             ("d", "d-c3", "clause", "2. They do.", 1, 1, ["d"], [], []), ("d", "d-c3", "clause", "2. They do. They go.", 1, 1, ["d"], [], [])]
+    pages = spark.createDataFrame([("d", 1, f"{text}\n2. They do. They go.\n3. End.")], "doc string, page int, text string")
+    rows = A.audit(spark.createDataFrame(cards, card), pages)
+    got = sorted((r.card_id, r.verdict, r.segment_tokens, r.card_tokens, r.duplicate_ids) for r in rows.collect())
+    # cards of one identifier are counted together, each with the segments of both
+    assert got == [("d-c1", "NEEDS_MINOR_FIX", 11, 11, ["d-c1", "d-c2"]), ("d-c2", "NEEDS_MINOR_FIX", 11, 11, ["d-c1", "d-c2"])] + [("d-c3", "PASS", 10, 8, [])] * 2

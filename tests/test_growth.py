@@ -226,3 +226,22 @@ def test_audit_reads_texts_in_one_place(spark):
     got = sorted((r.card_id, r.verdict, r.segment_tokens, r.card_tokens, r.duplicate_ids) for r in rows.collect())
     # cards of one identifier are counted together, each with the segments of both
     assert got == [("d-c1", "NEEDS_MINOR_FIX", 11, 11, ["d-c1", "d-c2"]), ("d-c2", "NEEDS_MINOR_FIX", 11, 11, ["d-c1", "d-c2"])] + [("d-c3", "PASS", 10, 8, [])] * 2
+
+
+REFERRING = [
+    "Part I: Trade\nSection 1: One\nA. Goods\n1. Subject\nto section 7.\n2. The buyer takes:\na. three; b. four;\nii. five.\n3. Except as said.\n4. Under\nSection 1.2 it\nis read with\nthe Code.",
+    "5. None.\n6. This is de\nspite all.\n7. Plain.\na. amended by\nsection 9.", "goes on despite section 3.\n8. \u017fubject to \u00a7.",
+]
+
+
+def test_only_clauses_that_can_refer_get_a_text(spark, page_blocks):
+    found = B.outline(page_blocks(REFERRING))
+    whole = B.unit_rows(found, ("clause",)).orderBy("block_ord", "offset").collect()
+    some = B.unit_rows(found, ("clause",), may=R.may_refer).orderBy("block_ord", "offset").collect()
+    assert [r.text for r in whole][:3] == ["1. Subject to section 7.", "2. The buyer takes:\na. three;\nb. four;\n  ii. five.", "3. Except as said."]
+    assert [r.clause_id for r in some] == [r.clause_id for r in whole]
+    assert {r.number for r in some if not r.text} == {"2", "5", "6"}
+    assert all(r == w for r, w in zip(some, whole) if r.text)
+    of = lambda rows: [(r.source_unit_id, r.reference_type, r.reference_text) for r in R.references(rows).orderBy("ref_ord").collect()]
+    assert of(B.unit_rows(found, ("clause",), may=R.may_refer)) == of(B.unit_rows(found, ("clause",)))
+    assert [t for _, t, _ in of(B.unit_rows(found, ("clause",)))] == ["subject_to", "exception_to", "read_with", "section_reference", "despite", "amends", "subject_to"]

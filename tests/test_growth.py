@@ -245,3 +245,16 @@ def test_only_clauses_that_can_refer_get_a_text(spark, page_blocks):
     of = lambda rows: [(r.source_unit_id, r.reference_type, r.reference_text) for r in R.references(rows).orderBy("ref_ord").collect()]
     assert of(B.unit_rows(found, ("clause",), may=R.may_refer)) == of(B.unit_rows(found, ("clause",)))
     assert [t for _, t, _ in of(B.unit_rows(found, ("clause",)))] == ["subject_to", "exception_to", "read_with", "section_reference", "despite", "amends", "subject_to"]
+
+
+def test_pages_are_sorted_once_for_all_looks_behind(spark):
+    pages = [("a", 1, ["1. One", "Part I: X"]), ("a", 2, ["2. Two"]), ("a", 5, ["go on"]), ("b", 1, ["3. Three"]), ("b", 2, ["Section 1: Y", "A. B"]), ("c", 1, ["4. Four"])]
+    for width in (1, 2, 9):
+        rows = [(d, n, lines, (i // width << 33) + i % width, i // width) for i, (d, n, lines) in enumerate(pages)]
+        dealt = materialize(spark.createDataFrame(rows, "doc string, page bigint, lines array<string>, _at bigint, _part bigint"), "dealt")
+        marked = A.marked_pages(dealt)
+        # each row is sorted once; before, once for the rows behind it and again for the next heading
+        assert len(re.findall(r"Sort \[[^\]]*_at#", plan_of(marked))) == 1
+        openers = A.segment_openers(materialize(marked, "marked")).collect()
+        stops = {r.number: r.stop and (r.stop.no, r.stop.i) for r in openers}
+        assert stops == {1: (0, 1), 2: None, 3: (4, 0), 4: None}

@@ -91,9 +91,19 @@ def by_rarity(asked: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def overlaps_of(pairs: DataFrame, asked: DataFrame, held: DataFrame) -> DataFrame:
-    """Words shared by each pair (question_id, path)."""
-    words = pairs.join(asked.select("question_id", "word"), "question_id").join(unsent(held), ["word", "path"])
-    return words.groupBy("question_id", "path").agg(F.count("*").alias("overlap"))
+    """Words shared by each pair (question_id, path), of which none comes twice; pairs without any are left out.
+
+    A pair meets the words of its question and those asked of its page as two lists, so that it is one row and not one for each word.
+    A word that a question or a page has in several rows counts with each of them.
+    """
+    def listed(rows: DataFrame, key: str, name: str) -> DataFrame:
+        lists = rows.groupBy(key).agg(F.collect_list("word").alias(name))
+        return lists.withColumn(f"{name}_once", F.size(F.array_distinct(name)) == F.size(name))
+
+    met = pairs.join(listed(asked, "question_id", "_asked"), "question_id").join(unsent(listed(held, "path", "_held")), "path")
+    times = F.aggregate("_asked", F.lit(0), lambda n, w: n + F.size(F.filter("_held", lambda h: h == w)))
+    shared = F.when(F.col("_asked_once") & F.col("_held_once"), F.size(F.array_intersect("_asked", "_held"))).otherwise(times)
+    return met.select("question_id", "path", shared.cast("bigint").alias("overlap")).where("overlap > 0")
 
 
 def score_floors(asked: DataFrame, held: DataFrame, questions: DataFrame, top_k: int) -> DataFrame:

@@ -258,3 +258,12 @@ def test_pages_are_sorted_once_for_all_looks_behind(spark):
         openers = A.segment_openers(materialize(marked, "marked")).collect()
         stops = {r.number: r.stop and (r.stop.no, r.stop.i) for r in openers}
         assert stops == {1: (0, 1), 2: None, 3: (4, 0), 4: None}
+
+
+def test_a_pair_of_page_and_question_is_one_row(spark):
+    asked = spark.createDataFrame([("q", "red"), ("q", "lamp"), ("q", "sky"), ("twice", "red"), ("twice", "red"), (None, "red")], "question_id string, word string")
+    held = spark.createDataFrame([("p", "red"), ("p", "lamp"), ("again", "red"), ("again", "red"), ("other", "moon"), (None, "red")], "path string, word string")
+    pairs = [(q, p) for q in ("q", "twice", None) for p in ("p", "again", "other", None)]
+    got = Q.overlaps_of(spark.createDataFrame(pairs, "question_id string, path string"), asked, held)
+    assert plan_of(got).count("Generate") == 0 and not re.search(r"Join \[[^\]]*word#", plan_of(got))
+    assert {(r.question_id, r.path): r.overlap for r in got.collect()} == {("q", "p"): 2, ("q", "again"): 2, ("twice", "p"): 2, ("twice", "again"): 4}
